@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gridloom.llm.leak import leaked_items
 from gridloom.llm.tokenize_bpe import encode_corpus
 from gridloom.sources.tables import read_table
 
@@ -21,3 +22,9 @@ def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 @_query
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return encode_corpus(read_table(spark, folder, "documents", "doc_id", "text"))
+
+
+@_query
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read_table(spark, folder, "documents", "doc_id", "text")
+    return leaked_items(documents, read_table(spark, folder, "heldout_items", "item_id", "lang", "text"))
