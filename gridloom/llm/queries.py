@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gridloom.llm.leak import leaked_items
+from gridloom.llm.quality import line_shares, mostly_not_prose
 from gridloom.llm.tokenize_bpe import encode_corpus
 from gridloom.sources.tables import read_table
 
@@ -28,3 +29,15 @@ def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     documents = read_table(spark, folder, "documents", "doc_id", "text")
     return leaked_items(documents, read_table(spark, folder, "heldout_items", "item_id", "lang", "text"))
+
+
+@_query
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read_table(spark, folder, "documents", "doc_id", "text")
+    return mostly_not_prose(documents, read_table(spark, folder, "common_words", "lang", "word"))
+
+
+@_query
+def p10_shares(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read_table(spark, folder, "documents", "doc_id", "text")
+    return line_shares(documents, read_table(spark, folder, "common_words", "lang", "word"))
