@@ -20,6 +20,7 @@ come out once for each row, items with an empty core never match.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import reduce
 
@@ -35,11 +36,12 @@ from gridloom.session import ship_package
 ITEM_BLOCK, ITEM_CHARS = 2_000, 2_000_000
 #: Runs: core characters of one embedded run by the script of the item.
 WIDTH = {"zh": 8, "en": 10}
-#: Exact passages: characters (zh) or words (en).
-PASSAGE = {"zh": 16, "en": 8}
+#: Exact passages: 16 characters (zh), or 8 words (en), which are sought by 20 core characters, or fewer if an item has shorter words.
+PASSAGE, PASSAGE_WORDS = {"zh": 16, "en": 20}, 8
 TABLES, SAMPLED, SEED = 2, 14, 20240
 
 _ROWS = 1_500
+_LETTERS = re.compile(r"[a-z]+")
 
 
 class _Walk:
@@ -116,33 +118,33 @@ class ItemIndex:
             both = np.stack([np.concatenate(key), owners.astype(np.uint64)]) if key else np.zeros((2, 0), np.uint64)
             both = np.unique(both, axis=1)  # an item once for each key
             self.tables.append(_Lists(both[0], both[1].astype(np.int64)))
-        self.words: dict[str, int] = {}
-        units, width = [], PASSAGE[script]
-        for text, (_, raw) in zip(cores, rows):
-            if script == "en":
-                words = core_words(raw)
-                units.append((np.array([self.words.setdefault(w, len(self.words) + 1) for w in words], np.int64), np.array([len(w) for w in words], np.int64)))
-            else:
-                units.append((codes(text).astype(np.int64), np.ones(len(text), np.int64)))
-        self.item_of, self.weight_to, grams, places, least = [], [0], [], [], []
-        at = 0
-        for k, (unit, weight) in enumerate(units):
-            h = rolling(unit, width)
+        width = PASSAGE[script]
+        words = [[len(w) for w in core_words(t)] for _, t in rows] if script == "en" else [[] for _ in rows]
+        self.least = width
+        if script == "en":  # the core characters of any 8 words in a row
+            spans = [sum(w[i : i + PASSAGE_WORDS]) for w in words for i in range(max(1, len(w) - PASSAGE_WORDS + 1))]
+            self.least = width = max(1, min([width, *spans]))
+        self.width = width
+        joined, ends = join_codes(cores)
+        grams, places = [], []
+        for k in range(len(cores)):
+            h = rolling(joined[ends[k] : ends[k + 1]], width)
             grams.append(h)
-            places.append(at + np.arange(len(h)))
-            total = np.cumsum(np.concatenate(([0], weight)))
-            if len(h):
-                least.append(int((total[width:] - total[:-width]).min()))
-            self.weight_to.extend((self.weight_to[-1] + total[1:]).tolist())
-            self.item_of.extend([k] * len(unit))
-            at += len(unit)
-        self.item_of, self.weight_to = np.array([*self.item_of, -1]), np.array(self.weight_to)
+            places.append(ends[k] + np.arange(len(h)))
+        self.item_of = np.repeat(np.arange(len(cores)), self.length)
+        # Whole words that start before, and that end before each place: their difference counts the words of a passage.
+        starts, stops = np.zeros(len(joined) + 1, np.int64), np.zeros(len(joined) + 1, np.int64)
+        for k, sizes in enumerate(words):
+            if sum(sizes) == self.length[k]:
+                edge = ends[k] + np.cumsum([0, *sizes])
+                starts[edge[:-1]] += 1
+                stops[edge[1:]] += 1
+        self.begun, self.ended = np.concatenate(([0], np.cumsum(starts))), np.cumsum(stops)
         self.grams = _Lists(np.concatenate(grams) if grams else np.zeros(0, np.uint64), np.concatenate(places) if places else np.zeros(0, np.int64))
         # A passage of w or more characters holds an aligned run for every 3 w - 2 of its characters, or the
         # bound says nothing; halved, since an item may repeat a passage that the document has once.
         w = self.walk.width
-        self.least = min(least, default=0)
-        sure = bool(least) and min(least) >= 2 * w - 1
+        sure = self.least >= 2 * w - 1
         self.need = np.maximum(1, self.length // 2 // (3 * w - 2) // 2) if sure else np.ones(len(self.length), np.int64)
         self.fewest = int(self.length.min()) // 4 if len(self.length) else 0
 
@@ -164,55 +166,47 @@ class ItemIndex:
         count = np.bincount(owner[pairs // n] * n + pairs % n, minlength=len(cores) * n).reshape(len(cores), n)
         return np.argwhere(count >= self.need[None, :])
 
-    def verify(self, units: list[np.ndarray], pairs: np.ndarray) -> np.ndarray:
-        """Those of the pairs whose passages cover half of the item; ``units`` by document."""
-        width, n = PASSAGE[self.script], len(self.ids)
+    def verify(self, cores: list[str], pairs: np.ndarray) -> np.ndarray:
+        """Those of the pairs (document, item) whose passages cover half of the item."""
+        width, n, size = self.width, len(self.ids), np.int64(len(self.item_of) + 2)
         wanted = np.unique(pairs[:, 0])
-        gap = np.full(width, (1 << 40), np.int64) + np.arange(width)  # no run crosses from one document to the next
-        parts, owner = [], []
-        for d in wanted:
-            parts += [units[d], gap]
-            owner += [len(units[d]) + width]
-        where = np.repeat(wanted, owner)
-        hashes = rolling(np.concatenate(parts), width)
-        rows, places = self.grams.find(hashes)
-        keys = np.unique(where[rows] * np.int64(len(self.item_of)) + places)
-        doc, place = keys // len(self.item_of), keys % len(self.item_of)
-        item = self.item_of[place]
-        same = np.zeros(len(keys), np.bool_)
-        if len(keys) > 1:
-            same[:-1] = (doc[1:] == doc[:-1]) & (item[1:] == item[:-1])
-        end = place + width
-        if len(keys) > 1:
-            end[:-1] = np.where(same[:-1], np.minimum(end[:-1], place[1:]), end[:-1])
-        covered = np.bincount(doc * n + item, weights=self.weight_to[end] - self.weight_to[place], minlength=int(wanted.max() + 1) * n)
-        held = covered[pairs[:, 0] * n + pairs[:, 1]]
-        return pairs[held * 2 >= np.maximum(1, self.length[pairs[:, 1]])]
-
-    def search(self, texts: list[str | None], cores: list[str]) -> np.ndarray:
+        gap = "\x00" * width  # no passage crosses from one document to the next
+        where = np.repeat(wanted, [len(cores[d]) + width for d in wanted])
+        rows, places = self.grams.find(rolling(codes(gap.join([*(cores[d] for d in wanted), ""])), width))
+        keys = np.unique(where[rows] * size + places)
+        if not keys.size:
+            return pairs[:0]
+        doc, start = keys // size, keys % size
+        item = self.item_of[start]
+        # Seeds at consecutive places of an item are one passage.
+        new = np.ones(len(keys), np.bool_)
+        new[1:] = (keys[1:] != keys[:-1] + 1) | (item[1:] != item[:-1])
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(keys)) - 1
+        doc, item, begin, end = doc[first], item[first], start[first], start[last] + width
+        if self.script == "en":
+            long = self.ended[end] - self.begun[begin] >= PASSAGE_WORDS
+            doc, item, begin, end = doc[long], item[long], begin[long], end[long]
+        if len(doc) > 1:  # passages of an item may overlap
+            same = (doc[1:] == doc[:-1]) & (item[1:] == item[:-1])
+            begin[1:] = np.where(same, np.maximum(begin[1:], end[:-1]), begin[1:])
+        covered = np.bincount(doc * n + item, weights=np.maximum(0, end - begin), minlength=int(wanted.max() + 1) * n)
+        return pairs[covered[pairs[:, 0] * n + pairs[:, 1]] * 2 >= np.maximum(1, self.length[pairs[:, 1]])]
+
+    def search(self, cores: list[str]) -> np.ndarray:
         """Rows (document, item id)."""
         plain = np.array([sum(map(len, _latin(c))) if self.script == "en" else len(c) for c in cores])
         near = np.flatnonzero(plain >= max(1, self.fewest))
         if not near.size:
             return np.zeros((0, 2), np.int64)
         pairs = self.candidates([cores[i] for i in near])
-        if not len(pairs):
-            return pairs
-        units: list[np.ndarray] = [np.zeros(0, np.int64)] * len(near)
-        for d in np.unique(pairs[:, 0]):
-            if self.script == "en":
-                get = self.words.get
-                units[d] = np.array([get(x, 0) or -1 for x in core_words(texts[near[d]])], np.int64)
-            else:
-                units[d] = codes(cores[near[d]]).astype(np.int64)
-        pairs = self.verify(units, pairs)
+        if len(pairs):
+            pairs = self.verify([cores[i] for i in near], pairs)
         return np.stack([near[pairs[:, 0]], self.ids[pairs[:, 1]]], axis=1)
 
 
 def _latin(text: str) -> list[str]:
-    import re
-
-    return re.findall(r"[a-z]+", text)
+    return _LETTERS.findall(text)
 
 
 _INDEX: dict[int, list[ItemIndex]] = {}
@@ -260,9 +254,8 @@ def _searcher(held):
         for batch in batches:
             for start in range(0, batch.num_rows, _ROWS):
                 part = batch.slice(start, _ROWS)
-                texts, ids = part.column(1).to_pylist(), part.column(0)
-                cores = [core(t) for t in texts]
-                rows = np.concatenate([x.search(texts, cores) for x in index if len(x.ids)] or [np.zeros((0, 2), np.int64)])
+                ids, cores = part.column(0), [core(t) for t in part.column(1).to_pylist()]
+                rows = np.concatenate([x.search(cores) for x in index if len(x.ids)] or [np.zeros((0, 2), np.int64)])
                 yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows[:, 0])), pa.array(rows[:, 1], pa.int64())], names=["doc_id", "item_id"])
 
     return search

@@ -4,7 +4,7 @@ A line is prose, list, table or junk; the hidden states refine these. Each line
 features; a hidden Markov model scores the lines of
 a document together, so that a wrapped line takes part of its label from its
 neighbours. The model is fitted by hard expectation-maximisation on a bounded
-sample (``SAMPLE`` documents, the smallest by hash of id and text), started
+sample (about ``SAMPLE`` documents chosen by hash), started
 from lines that are beyond doubt. All documents are then labelled whole.
 
 Null, empty and blank documents have no lines and no label.
@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.llm.sampling import hash_sample
 from gridloom.session import ship_package
 
 LABELS = ("prose", "list", "table", "junk")
@@ -295,15 +296,10 @@ class LineModel:
 
 
 def fitted_model(documents: DataFrame, common_words: DataFrame) -> LineModel:
-    """Fit on the ``SAMPLE`` non-blank documents whose hash is smallest (a top-k, not a scan order)."""
-    rows = (
-        documents.where(F.length(F.trim("text")) > 0)
-        .select("text", F.xxhash64("doc_id", "text").alias("h"))
-        .orderBy("h", "text")
-        .limit(SAMPLE)
-    )
+    """Fit on about ``SAMPLE`` documents chosen by the hash of their id."""
+    rows = sorted(tuple(r) for r in hash_sample(documents, "doc_id", SAMPLE).select("doc_id", "text").where("text is not null and doc_id is not null").toLocalIterator())
     words = [r[0] for r in common_words.where("word is not null").select("word").distinct().orderBy("word").limit(10_000).toLocalIterator()]
-    return LineModel(words).fit([r[0] for r in rows.select("text").toLocalIterator()])
+    return LineModel(words).fit([t for _, t in rows if t.strip()])
 
 
 def line_shares(documents: DataFrame, common_words: DataFrame) -> DataFrame:
