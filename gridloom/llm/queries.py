@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gridloom.llm.leak import leaked_items
 from gridloom.llm.quality import line_shares, mostly_not_prose
+from gridloom.llm.repetition import cutoff_table, repetition, repetitive_rows
 from gridloom.llm.tokenize_bpe import encode_corpus
+from gridloom.llm.truncation import cut_report, cut_rows
 from gridloom.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +43,32 @@ def p10_found(spark: SparkSession, folder: str) -> DataFrame:
 def p10_shares(spark: SparkSession, folder: str) -> DataFrame:
     documents = read_table(spark, folder, "documents", "doc_id", "text")
     return line_shares(documents, read_table(spark, folder, "common_words", "lang", "word"))
+
+
+def _cells(spark: SparkSession, folder: str) -> DataFrame:
+    return read_table(spark, folder, "submission_cells", "row_id", "source", "ground_truth")
+
+
+@_query
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return cut_rows(_cells(spark, folder))
+
+
+@_query
+def p1_report(spark: SparkSession, folder: str) -> DataFrame:
+    return cut_report(_cells(spark, folder))
+
+
+@_query
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    return repetitive_rows(_cells(spark, folder))
+
+
+@_query
+def p3_shares(spark: SparkSession, folder: str) -> DataFrame:
+    return repetition(_cells(spark, folder))
+
+
+@_query
+def p3_cutoffs(spark: SparkSession, folder: str) -> DataFrame:
+    return cutoff_table(spark, _cells(spark, folder))
