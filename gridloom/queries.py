@@ -6,5 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gridloom.operators.csv_records import accepted, rejects
+from gridloom.sources.tables import read_table
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+
+
+def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    QUERIES[f.__name__] = f
+    return f
+
+
+@_query
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return rejects(read_table(spark, folder, "submission_raw", "raw_id", "raw_row"))
+
+
+@_query
+def p5_valid(spark: SparkSession, folder: str) -> DataFrame:
+    return accepted(read_table(spark, folder, "submission_raw", "raw_id", "raw_row"))
