@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gridloom.llm.leak import leaked_items
+from gridloom.llm.overlap import overlap_counts, overlapping_files
 from gridloom.llm.quality import line_shares, mostly_not_prose
 from gridloom.llm.repetition import cutoff_table, repetition, repetitive_rows
+from gridloom.llm.slicing import cut_slices, slice_pieces
+from gridloom.llm.splits import regrouped_splits, torn_groups
 from gridloom.llm.tokenize_bpe import encode_corpus
 from gridloom.llm.truncation import cut_report, cut_rows
 from gridloom.sources.tables import read_table
@@ -72,3 +75,53 @@ def p3_shares(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def p3_cutoffs(spark: SparkSession, folder: str) -> DataFrame:
     return cutoff_table(spark, _cells(spark, folder))
+
+
+def _features(spark: SparkSession, folder: str) -> DataFrame:
+    return read_table(spark, folder, "split_features", "run_id", "file_name", "family", "author", "entity")
+
+
+def _splits(spark: SparkSession, folder: str) -> DataFrame:
+    return read_table(spark, folder, "experiment_splits", "run_id", "name", "file_names")
+
+
+def _records(spark: SparkSession, folder: str) -> DataFrame:
+    return read_table(spark, folder, "markdown_records", "record_id", "file_name", "source", "read_text")
+
+
+@_query
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return torn_groups(_features(spark, folder), _splits(spark, folder))
+
+
+@_query
+def p2_splits(spark: SparkSession, folder: str) -> DataFrame:
+    return regrouped_splits(_features(spark, folder), read_table(spark, folder, "split_targets", "name", "share"))
+
+
+def _sliced(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return (
+        read_table(spark, folder, "image_slices", "slice_id", "kind", "y0", "y1", "height"),
+        read_table(spark, folder, "observations", "slice_id", "y", "height", "confidence"),
+        read_table(spark, folder, "slice_specs"),
+    )
+
+
+@_query
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return cut_slices(*_sliced(spark, folder)).select("slice_id", "cut")
+
+
+@_query
+def p4_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return slice_pieces(*_sliced(spark, folder))
+
+
+@_query
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return overlapping_files(_splits(spark, folder), _records(spark, folder))
+
+
+@_query
+def p6_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return overlap_counts(_splits(spark, folder), _records(spark, folder))
