@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gridloom.llm.leak import leaked_items
+from gridloom.llm.markup import clean_texts, markup_kinds, template_classes, texts_of
 from gridloom.llm.overlap import overlap_counts, overlapping_files
 from gridloom.llm.quality import line_shares, mostly_not_prose
 from gridloom.llm.repetition import cutoff_table, repetition, repetitive_rows
@@ -125,3 +126,18 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def p6_counts(spark: SparkSession, folder: str) -> DataFrame:
     return overlap_counts(_splits(spark, folder), _records(spark, folder))
+
+
+@_query
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    return markup_kinds(texts_of(_cells(spark, folder), _records(spark, folder)))
+
+
+@_query
+def p7_clean(spark: SparkSession, folder: str) -> DataFrame:
+    return clean_texts(texts_of(_cells(spark, folder), _records(spark, folder)))
+
+
+@_query
+def p7_templates(spark: SparkSession, folder: str) -> DataFrame:
+    return template_classes(texts_of(_cells(spark, folder), _records(spark, folder)))
