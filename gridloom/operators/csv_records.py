@@ -35,7 +35,7 @@ BLOCK = 512
 SUFFIXES = (".jpg", ".jpeg", ".png", ".webp", ".bmp")
 
 _NAME = r"(?i)^[^/\\]*[^/\\\s][^/\\]*\.(?:jpg|jpeg|png|webp|bmp)$"
-_BAD_TEXT = "[\u0000-\u0008\u000b\u000c\u000e-\u001f�]"
+_BAD_TEXT = "[\u0000-\u0008\u000b\u000c\u000e-\u001f\ufffd]"
 _BAD_TEXT_RE = re.compile(_BAD_TEXT)
 _READ = pv.ReadOptions(use_threads=False, column_names=["name", "text"], block_size=1 << 26)
 _PARSE = pv.ParseOptions(newlines_in_values=True, ignore_empty_lines=False)
