@@ -46,7 +46,7 @@ _LONG = re.compile(r"[A-Za-z0-9+/=_%\\-]{28,}")
 _HAN = re.compile(r"[㐀-鿿豈-﫿]+")
 _PLAIN = re.compile(r"[0-9A-Za-z\s一-鿿，。；：、！？（）“”‘’《》【】…—,.;:!?()\[\]'\"|/%#*\-+=<>&_`~$\\{}^]+")
 _ODD_HEAD = re.compile(r"^\s*[□☐☑☒✓✔•·●○▪◦‣■◆◇]\s?(?=\w)")
-_SPLIT = re.compile(r"\r\n|[\n\r\v\f\x85  ]")
+_SPLIT = re.compile("\r\n|[\n\r\v\f\x85\u2028\u2029]")
 _STOP = re.compile(r"(?<=[。！？])|(?<=[a-z][.!?] )")
 _HEX = re.compile(r"(?:\b[0-9a-f]{2}\b[ :]?){9,}|(?:[0-9a-f]{4,8} ){6,}", re.I)
 _WIDE = re.compile(r"[０-９Ａ-Ｚａ-ｚ．％]")

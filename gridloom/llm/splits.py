@@ -34,7 +34,7 @@ _NARROW = "".join(chr(0x21 + i) for i in range(94))
 
 
 def folded(column: str) -> Column:
-    plain = F.lower(F.translate(F.col(column), _WIDE + "　", _NARROW + " "))
+    plain = F.lower(F.translate(F.col(column), _WIDE + "\u3000", _NARROW + " "))
     return F.regexp_replace(plain, r"(?U)^\s+|\s+$", "")
 
 
