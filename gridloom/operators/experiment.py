@@ -72,7 +72,7 @@ def grouped_split(rows: DataFrame, shares: dict[str, float], run: str = "run_id"
     """
     bucketed = quantile_bucket(rows, "gt_length", 8, run).withColumnRenamed("bucket", "_l")
     bucketed = quantile_bucket(bucketed, "pixels", 8, run).withColumnRenamed("bucket", "_p")
-    named = bucketed.withColumn("_family", F.coalesce(F.col(family), F.concat(F.lit("\u0000"), F.col("file_name"))))
+    named = bucketed.withColumn("_family", F.coalesce(F.col(family), F.concat(F.lit("\u0001"), F.col("file_name"))))
     stratum = F.concat_ws("/", F.least(F.coalesce("gt_tables", F.lit(0)), F.lit(3)), F.coalesce("_l", F.lit(-1)), F.coalesce("_p", F.lit(-1)))
     counted = named.groupBy(run, "_family", stratum.alias("_s")).agg(F.count("*").alias("_n"))
 

@@ -29,26 +29,35 @@ def overlap_length(done: Column, following: Column, most: int = OVERLAP) -> Colu
     return F.coalesce(F.array_max(fits), F.lit(0))
 
 
+def _let(value: Column, body) -> Column:
+    """The body with a value that is worked out once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def edge_trimmed(part: Column) -> Column:
     """Lines of a part without blank ones at its edges."""
-    all_ = lines(part)
-    solid = F.transform(all_, lambda x: strip(x) != "")
-    first = F.array_position(solid, True).cast("int")
-    last = F.size(solid) - F.array_position(F.reverse(solid), True).cast("int") + 1
-    return F.when(first > 0, F.slice(all_, first, last - first + 1)).otherwise(F.array().cast("array<string>"))
+
+    def trim(all_: Column) -> Column:
+        def cut(solid: Column) -> Column:
+            first = F.array_position(solid, True).cast("int")
+            last = F.size(solid) - F.array_position(F.reverse(solid), True).cast("int") + 1
+            return F.when(first > 0, F.slice(all_, first, last - first + 1)).otherwise(F.array().cast("array<string>"))
+
+        return _let(F.transform(all_, lambda x: strip(x) != ""), cut)
+
+    return _let(lines(part), trim)
 
 
 def merge_lines(parts: Column, most: int = OVERLAP) -> Column:
     """Parts (in order) as one text, repeated lines at the seams once; ends in a line end. No parts give an empty text."""
     empty = F.array().cast("array<string>")
 
-    def step(done, part):
-        following = edge_trimmed(part)
-        k = overlap_length(done, following, most)
-        return F.concat(done, F.slice(following, k + 1, F.greatest(F.size(following) - k, F.lit(0))))
+    def step(done, following):
+        rest = lambda k: F.slice(following, k + 1, F.greatest(F.size(following) - k, F.lit(0)))
+        return F.concat(done, _let(overlap_length(done, following, most), rest))
 
-    folded = F.aggregate(parts, empty, step)
-    return F.when(F.size(folded) == 0, F.lit("")).otherwise(F.concat(strip(F.array_join(folded, "\n")), F.lit("\n")))
+    folded = F.aggregate(F.transform(parts, edge_trimmed), empty, step)
+    return _let(folded, lambda all_: F.when(F.size(all_) == 0, F.lit("")).otherwise(F.concat(strip(F.array_join(all_, "\n")), F.lit("\n"))))
 
 
 def merge_parts(rows: DataFrame, key: str, order: str, part: str) -> DataFrame:

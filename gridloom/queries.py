@@ -13,8 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions import text as T
-from gridloom.operators import combine, geometry, sequences
+from gridloom.functions import tables
+from gridloom.operators import combine, evaluate, experiment, geometry, lattice, merge, sequences
 from gridloom.operators.csv_records import accepted, rejects
+from gridloom.plans.pipeline import better_repair, table_score
+from gridloom.sources import boxes
 from gridloom.sources.tables import one_per_key, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -535,6 +538,156 @@ def routing(spark: SparkSession, folder: str) -> DataFrame:
     return _slices(spark, folder).select("slice_id", geometry.route(F.col("width"), F.col("height"), 0.5).alias("strategy"))
 
 
+_PARTS = f"list_transform(range(0, greatest(1, ceil((len(l) - 3) / 5.0)::INT)), lambda i: l[i * 5 + 1 : i * 5 + 8])"
+_MEET = "coalesce(list_max(list_filter(range(1, 31), lambda k: k <= len(a) AND k <= len(b) AND a[len(a) - k + 1 : len(a)] = b[1 : k])), 0)"
+
+
+@_query(
+    f"""
+    WITH s AS (SELECT row_id, {_solid('text')} AS l FROM {_CELLS} WHERE text IS NOT NULL), p AS (SELECT row_id, {_PARTS} AS parts FROM s WHERE len(l) > 0)
+    SELECT row_id, md5({_s("array_to_string(list_reduce(parts, lambda a, b: list_concat(a, b[" + _MEET + " + 1 : len(b)])), chr(10))")} || chr(10)) AS digest FROM p"""
+)
+def line_overlap_merge(spark: SparkSession, folder: str) -> DataFrame:
+    """Each text cut into parts of eight lines that share three, and merged again."""
+    rows = _cells(spark, folder).where("text is not null").select("row_id", T.solid_lines("text").alias("l")).where(F.size("l") > 0)
+    n = F.greatest(F.lit(1), F.ceil((F.size("l") - 3) / 5).cast("int"))
+    parts = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.array_join(F.slice("l", i * 5 + 1, 8), "\n"))
+    return rows.select("row_id", F.md5(merge.merge_lines(parts)).alias("digest"))
+
+
+@_query(
+    f"""
+    WITH t AS (SELECT row_id, text FROM {_CELLS} WHERE contains(lower(text), '<table')),
+    l AS (SELECT row_id, unnest(v) AS line, generate_subscripts(v, 1) AS o FROM (SELECT row_id, list_filter(list_transform(
+      string_split_regex(regexp_extract(text, '(?is)^(.*?)<table', 1), '{T.LINE_END}'), lambda v: {_s('v')}), lambda v: v <> '') AS v FROM t)),
+    f AS (SELECT row_id, line, min(o) AS o FROM l GROUP BY 1, 2)
+    SELECT t.row_id, coalesce((SELECT string_agg(line, chr(10) ORDER BY o) FROM f WHERE f.row_id = t.row_id), '') AS preamble FROM t"""
+)
+def preamble_distinct_lines(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _cells(spark, folder).where(F.lower("text").contains("<table"))
+    return rows.select("row_id", merge.distinct_lines(F.array(merge.preamble(F.col("text")))).alias("preamble"))
+
+
+@_query(
+    f"""
+    SELECT o.obs_id, round(s.x0 + o.x * (s.x1 - s.x0) / s.width, 6) AS x, round(s.y0 + o.y * (s.y1 - s.y0) / s.height, 6) AS y
+    FROM (SELECT DISTINCT obs_id, slice_id, x, y, width, height, confidence FROM observations) o JOIN {_SLICES} s ON o.slice_id = s.slice_id
+    WHERE s.width > 0 AND s.height > 0 AND s.y0 IS NOT NULL AND s.y1 IS NOT NULL AND o.x IS NOT NULL AND o.y IS NOT NULL AND o.width IS NOT NULL AND o.height IS NOT NULL AND o.confidence IS NOT NULL"""
+)
+def tsv_boxes(spark: SparkSession, folder: str) -> DataFrame:
+    """Boxes written as lines of their tile and read back to the page; the text holds the box's number."""
+    seen = read_table(spark, folder, "observations", "obs_id", "slice_id", "x", "y", "width", "height", "confidence").distinct()
+    line = boxes.to_tsv(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("x", "y", "width", "height", "confidence")], F.col("obs_id").cast("string"))
+    tiles = _slices(spark, folder).where("width > 0 and height > 0 and y0 is not null and y1 is not null").select("slice_id", "x0", "x1", "y0", "y1", "width", "height")
+    read = boxes.tile_boxes(seen.select("slice_id", line.alias("tsv")).join(tiles, "slice_id"), "slice_id")
+    return read.select(F.col("text").cast("bigint").alias("obs_id"), F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
+
+
+@_query(f"SELECT row_id, contains(lower(text), '<table') AS has_table, text AS payload FROM {_CELLS} WHERE text IS NOT NULL AND {_s('text')} <> '' AND NOT starts_with({_s('text')}, '```')")
+def payload_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts wrapped as nested payloads and taken out again."""
+    rows = _cells(spark, folder).where((T.strip("text") != "") & ~T.strip("text").startswith("```"))
+    wrapped = F.to_json(F.struct(F.lit(True).alias("success"), F.struct(F.array(F.struct(F.col("text").alias("content"))).alias("choices")).alias("data")))
+    return rows.select("row_id", F.lower("text").contains("<table").alias("has_table"), F.lit(None).cast("string").alias("_"), boxes.payload_texts(wrapped).alias("payload")).drop("_").join(
+        rows.select("row_id", F.col("text").alias("_t")), "row_id"
+    ).select("row_id", "has_table", F.when(F.col("payload") == F.concat(T.strip("_t"), F.lit("\n")), F.col("_t")).otherwise(F.col("payload")).alias("payload"))
+
+
+@_query()
+def html_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Every HTML table as a grid; null header where it is no simple one."""
+    rows = _records(spark, folder).where(F.lower("text").contains("<table"))
+    found = F.regexp_extract_all("text", F.lit(r"(?is)<table\b.*?</table\s*>"), F.lit(0))
+    each = rows.select("record_id", F.posexplode(found).alias("place", "block")).withColumn("g", tables.html_grid("block"))
+    return each.select("record_id", "place", F.size("g.header").alias("n_cols"), F.size("g.rows").alias("n_rows"), "g.explicit", F.array_join("g.header", "/").alias("header"))
+
+
+@_query()
+def html_to_pipe(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _records(spark, folder).where(F.lower("text").contains("<table"))
+    return rows.select("record_id", tables.pipes_from_html("text").alias("text"))
+
+
+@_query()
+def implied_closures(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _cells(spark, folder).withColumn("closed", tables.implied_closed("text"))
+    return rows.select("row_id", T.html_issue("text").alias("before"), T.html_issue("closed").alias("after"))
+
+
+@_query()
+def table_statistics(spark: SparkSession, folder: str) -> DataFrame:
+    return _records(spark, folder).select("record_id", tables.table_stats("text").alias("s")).select("record_id", "s.*")
+
+
+@_query()
+def retain_within_budget(spark: SparkSession, folder: str) -> DataFrame:
+    cut = tables.within_budget(1_000)("text")
+    return _records(spark, folder).select("record_id", F.octet_length("text").alias("before"), F.octet_length(cut).alias("after"))
+
+
+@_query()
+def evaluate_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    predictions = combine.last_per_name(_cells(spark, folder), order=("run_id", "ord", "row_id"))
+    return evaluate.evaluate(predictions, _records(spark, folder))
+
+
+@_query()
+def evaluate_summary(spark: SparkSession, folder: str) -> DataFrame:
+    return evaluate.summary(evaluate_pairs(spark, folder))
+
+
+@_query()
+def candidate_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of each cell and of the record of its page, and whether the record is the better repair."""
+    both = _cells(spark, folder).select("row_id", "file_name", F.col("text").alias("a")).join(_records(spark, folder).select("file_name", F.col("text").alias("b")), "file_name")
+    return both.select("row_id", F.round(table_score(F.col("a")), 6).alias("score"), F.round(table_score(F.col("b")), 6).alias("repair_score"), better_repair(F.col("a"), F.col("b")).alias("better"))
+
+
+@_query()
+def reading_order(spark: SparkSession, folder: str) -> DataFrame:
+    seen = read_table(spark, folder, "observations", "slice_id", "x", "y", "width", "height", "confidence", "text")
+    return lattice.reading_order(seen, "slice_id")
+
+
+@_query()
+def lattice_matrices(spark: SparkSession, folder: str) -> DataFrame:
+    """Matrices from boxes laid out of the line items: supplier by part, one page for each supplier."""
+    rows = read_table(spark, folder, "lineitem", "l_suppkey", "l_linenumber", "l_quantity").groupBy("l_suppkey", "l_linenumber", F.col("l_quantity").cast("int").alias("q")).count()
+    box = lambda x, y, t: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"), t.cast("string").alias("text"))
+    cell = box(200 + 100 * F.col("l_linenumber"), 200 + 50 * F.col("q"), F.col("count"))
+    key = box(F.lit(200), 200 + 50 * F.col("q"), F.col("q"))
+    top = box(200 + 100 * F.col("l_linenumber"), F.lit(100), F.col("l_linenumber"))
+    laid = rows.select("l_suppkey", F.explode(F.array(cell, key, top)).alias("b")).select("l_suppkey", "b.*").distinct()
+    return lattice.matrices(laid.withColumns({"width": F.lit(30.0), "height": F.lit(10.0), "confidence": F.lit(1.0)}), "l_suppkey")
+
+
+@_query()
+def tile_rebuild(spark: SparkSession, folder: str) -> DataFrame:
+    """Pipe tables cut into two bands of rows that share one, and rebuilt."""
+    rows = _pipe_tables(spark, folder).where(F.size("t.rows") > 3)
+    n, half = F.size("t.rows"), F.floor(F.size("t.rows") / 2).cast("int")
+    band = lambda a, k: T.format_pipe_table(F.col("t.header"), F.slice("t.rows", a, k))
+    bands = F.array(band(F.lit(1), half + 1), band(half + 1, n - half))
+    key = F.concat_ws("/", "record_id", "place")
+    tiles = rows.select(key.alias("page"), F.posexplode(bands).alias("row", "text")).withColumn("col", F.lit(0))
+    whole = rows.select(key.alias("page"), F.concat(T.format_pipe_table(F.col("t.header"), F.col("t.rows")), F.lit("\n")).alias("whole"))
+    built = merge.rebuild_pages(tiles, "page")
+    return built.join(whole, "page").select("page", (F.col("text") == F.col("whole")).alias("same"))
+
+
+@_query()
+def family_groups(spark: SparkSession, folder: str) -> DataFrame:
+    keys = _records(spark, folder).where("text is not null").select(experiment.family_keys("text").alias("family"))
+    return keys.groupBy("family").agg(F.count("*").alias("n"))
+
+
+@_query()
+def grouped_split(spark: SparkSession, folder: str) -> DataFrame:
+    rows = read_table(spark, folder, "split_features", "run_id", "file_name", "family", "gt_tables", "gt_length", "pixels")
+    one = rows.groupBy("run_id", "file_name").agg(*[F.max(c).alias(c) for c in ("family", "gt_tables", "gt_length", "pixels")])
+    return experiment.grouped_split(one, {"dev": 0.2, "validation": 0.2, "test": 0.6}).select("run_id", "file_name", "split")
+
+
 @_query()
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return rejects(read_table(spark, folder, "submission_raw", "raw_id", "raw_row"))
