@@ -6,6 +6,8 @@ engine reads the same patterns.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,6 +29,11 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """The body with a value that is worked out once, whatever the number of places that use it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def collapse(c: Column | str) -> Column:
     """White space runs as one space, none at the edges."""
     return F.trim(F.regexp_replace(_col(c), f"[{SPACES}]+", " "))
@@ -38,8 +45,7 @@ def strip(c: Column | str) -> Column:
 
 def lines(c: Column | str) -> Column:
     """Lines of a text as they are; a final line end starts no further line."""
-    parts = F.split(_col(c), LINE_END)
-    return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+    return let(F.split(_col(c), LINE_END), lambda p: F.when(F.element_at(p, -1) == "", F.slice(p, 1, F.size(p) - 1)).otherwise(p))
 
 
 def solid_lines(c: Column | str) -> Column:
@@ -50,7 +56,7 @@ def solid_lines(c: Column | str) -> Column:
 def duplicate_line_ratio(c: Column | str) -> Column:
     """1 - distinct / all of the collapsed non-blank lines; 1.0 where there are none, null included."""
     solid = F.coalesce(solid_lines(c), F.array().cast("array<string>"))
-    return F.when(F.size(solid) == 0, 1.0).otherwise(1 - F.size(F.array_distinct(solid)) / F.size(solid))
+    return let(solid, lambda x: F.when(F.size(x) == 0, 1.0).otherwise(1 - F.size(F.array_distinct(x)) / F.size(x)))
 
 
 def normalize_text(c: Column | str) -> Column:
@@ -133,21 +139,26 @@ def html_issue(c: Column | str) -> Column:
 
 
 def looks_truncated(c: Column | str) -> Column:
-    text = F.coalesce(strip(c), F.lit(""))
-    fences = F.size(F.filter(solid_lines(text), lambda x: x.startswith("```")))
-    tables = count(text, "(?i)<table(?:\\s[^<>]*)?>") != count(text, "(?i)</table\\s*>")
-    on_tag = text.rlike("(?i)<(?:td|th|tr|table)(?:\\s[^<>]*)?>\\z")
-    short_cell = text.rlike("(?i)<t[dh](?:\\s[^<>]*)?>[^<>]{0,3}\\z")
-    return (text == "") | (fences % 2 == 1) | tables | on_tag | short_cell
+
+    def test(text: Column) -> Column:
+        fences = F.size(F.filter(solid_lines(text), lambda x: x.startswith("```")))
+        tables = count(text, "(?i)<table(?:\\s[^<>]*)?>") != count(text, "(?i)</table\\s*>")
+        on_tag = text.rlike("(?i)<(?:td|th|tr|table)(?:\\s[^<>]*)?>\\z")
+        short_cell = text.rlike("(?i)<t[dh](?:\\s[^<>]*)?>[^<>]{0,3}\\z")
+        return (text == "") | (text.contains("```") & (fences % 2 == 1)) | tables | on_tag | short_cell
+
+    return let(F.coalesce(strip(c), F.lit("")), test)
 
 
 def unstructured_table(c: Column | str) -> Column:
     """Reads like a table without any structure: many numbers over several lines."""
-    solid = solid_lines(c)
-    per = F.transform(solid, lambda x: count(x, NUMBER))
-    n_lines, n_numbers = F.size(solid), F.aggregate(per, F.lit(0), lambda a, x: a + x)
-    rich = F.size(F.filter(per, lambda x: x >= 2))
-    return F.coalesce((n_lines >= 4) & (n_numbers >= 8) & ((rich >= 3) | ((n_lines >= 6) & (n_numbers >= 12))), F.lit(False))
+
+    def test(per: Column) -> Column:
+        n_lines, n_numbers = F.size(per), F.aggregate(per, F.lit(0), lambda a, x: a + x)
+        rich = F.size(F.filter(per, lambda x: x >= 2))
+        return (n_lines >= 4) & (n_numbers >= 8) & ((rich >= 3) | ((n_lines >= 6) & (n_numbers >= 12)))
+
+    return F.coalesce(let(F.transform(solid_lines(c), lambda x: count(x, NUMBER)), test), F.lit(False))
 
 
 def table_markup(c: Column | str) -> Column:
@@ -193,15 +204,18 @@ def parse_pipe_table(c: Column | str) -> Column:
     Blank and comment lines are dropped; each other line must hold a pipe, the
     second be separators, and all be as wide as the first.
     """
-    kept = F.filter(F.split(_col(c), LINE_END), lambda x: (strip(x) != "") & ~comment_line(x))
-    grid = F.transform(kept, pipe_cells)
-    fine = (
-        (F.size(kept) >= 2)
-        & F.forall(kept, lambda x: x.contains("|"))
-        & F.coalesce(separator_row(F.try_element_at(kept, F.lit(2))), F.lit(False))
-        & F.forall(grid, lambda r: F.size(r) == F.size(F.try_element_at(grid, F.lit(1))))
-    )
-    return F.when(fine, F.struct(F.element_at(grid, 1).alias("header"), F.slice(grid, 3, F.greatest(F.size(grid) - 2, F.lit(0))).alias("rows")))
+
+    def parse(kept: Column) -> Column:
+        def check(grid: Column) -> Column:
+            width = F.size(F.try_element_at(grid, F.lit(1)))
+            bars = F.transform(F.try_element_at(grid, F.lit(2)), lambda x: F.regexp_replace(x, f"[{SPACES}]", ""))
+            even = F.array_min(F.transform(grid, F.size)) == F.array_max(F.transform(grid, F.size))
+            fine = even & F.forall(bars, lambda x: x.rlike(SEPARATOR_CELL)) & (width > 0)
+            return F.when(fine, F.struct(F.element_at(grid, 1).alias("header"), F.slice(grid, 3, F.greatest(F.size(grid) - 2, F.lit(0))).alias("rows")))
+
+        return F.when((F.size(kept) >= 2) & F.forall(kept, lambda x: x.contains("|")), let(F.transform(kept, pipe_cells), check))
+
+    return let(F.filter(F.split(_col(c), LINE_END), lambda x: (strip(x) != "") & ~comment_line(x)), parse)
 
 
 def format_pipe_row(cells: Column) -> Column:

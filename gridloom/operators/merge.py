@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions.tables import Grid, join_row, parse_html, parse_pipe, tidy, to_html, to_pipe
-from gridloom.functions.text import lines, strip
+from gridloom.functions.text import let, lines, strip
 from gridloom.session import ship_package
 
 OVERLAP = 30
@@ -29,11 +29,6 @@ def overlap_length(done: Column, following: Column, most: int = OVERLAP) -> Colu
     return F.coalesce(F.array_max(fits), F.lit(0))
 
 
-def _let(value: Column, body) -> Column:
-    """The body with a value that is worked out once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def edge_trimmed(part: Column) -> Column:
     """Lines of a part without blank ones at its edges."""
 
@@ -43,9 +38,9 @@ def edge_trimmed(part: Column) -> Column:
             last = F.size(solid) - F.array_position(F.reverse(solid), True).cast("int") + 1
             return F.when(first > 0, F.slice(all_, first, last - first + 1)).otherwise(F.array().cast("array<string>"))
 
-        return _let(F.transform(all_, lambda x: strip(x) != ""), cut)
+        return let(F.transform(all_, lambda x: strip(x) != ""), cut)
 
-    return _let(lines(part), trim)
+    return let(lines(part), trim)
 
 
 def merge_lines(parts: Column, most: int = OVERLAP) -> Column:
@@ -54,10 +49,10 @@ def merge_lines(parts: Column, most: int = OVERLAP) -> Column:
 
     def step(done, following):
         rest = lambda k: F.slice(following, k + 1, F.greatest(F.size(following) - k, F.lit(0)))
-        return F.concat(done, _let(overlap_length(done, following, most), rest))
+        return F.concat(done, let(overlap_length(done, following, most), rest))
 
     folded = F.aggregate(F.transform(parts, edge_trimmed), empty, step)
-    return _let(folded, lambda all_: F.when(F.size(all_) == 0, F.lit("")).otherwise(F.concat(strip(F.array_join(all_, "\n")), F.lit("\n"))))
+    return let(folded, lambda all_: F.when(F.size(all_) == 0, F.lit("")).otherwise(F.concat(strip(F.array_join(all_, "\n")), F.lit("\n"))))
 
 
 def merge_parts(rows: DataFrame, key: str, order: str, part: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions.tables import pipes_from_html, within_budget
-from gridloom.functions.text import candidate_issue, duplicate_line_ratio, html_shape, looks_truncated, strip, table_markup
+from gridloom.functions.text import candidate_issue, duplicate_line_ratio, html_shape, let, looks_truncated, strip, table_markup
 from gridloom.operators.combine import expand_template
 from gridloom.operators.geometry import route
 from gridloom.operators.merge import merge_lines, rebuild_pages
@@ -141,8 +141,12 @@ def table_score(text, parts=0, coverage=None):
 def better_repair(previous, repair, gain: int = 300, max_duplicate: float = 0.30):
     """Whether a repair replaces the text before: more structure, a score 8 higher, or no lower with more characters."""
     kind = lambda t: F.when(t.rlike("(?i)<table|\\|\\s*:?-{3,}"), 2).when(table_markup(t), 1).otherwise(0)
+
+    def decide(s):
+        old, new, a, b = s["old"], s["new"], s["a"], s["b"]
+        longer = F.length(strip(new)) >= F.length(strip(old)) + gain
+        better = (kind(new) > kind(old)) | (strip(old) == "") | (b >= a + 8) | ((b >= a) & longer)
+        return (strip(new) != "") & (duplicate_line_ratio(new) <= max_duplicate) & better
+
     old, new = F.coalesce(previous, F.lit("")), F.coalesce(repair, F.lit(""))
-    a, b = table_score(old), table_score(new)
-    longer = F.length(strip(new)) >= F.length(strip(old)) + gain
-    better = (kind(new) > kind(old)) | (strip(old) == "") | (b >= a + 8) | ((b >= a) & longer)
-    return (strip(new) != "") & (duplicate_line_ratio(new) <= max_duplicate) & better
+    return let(F.struct(old.alias("old"), new.alias("new"), table_score(old).alias("a"), table_score(new).alias("b")), decide)
