@@ -61,3 +61,12 @@ def ship_package(spark: SparkSession) -> None:
     archive = shutil.make_archive(os.path.join(folder, "gridloom"), "zip", stage)
     sc.addPyFile(archive)  # served by the driver, unpacked by every executor
     shutil.rmtree(stage)
+
+
+def spread(df: DataFrame, *keys: str, times: int = 4) -> DataFrame:
+    """Rows over several times as many partitions as a shuffle has, which adaptive execution then leaves alone.
+
+    For what costs much time for few bytes (comparing texts), where partitions
+    put together by size would leave cores idle.
+    """
+    return df.repartition(times * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
