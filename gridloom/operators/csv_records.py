@@ -158,8 +158,8 @@ def parse_records(raw: DataFrame, key: str = "raw_id", record: str = "raw_row")
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, pa.string()) for c in zip(*rows))], names=[key, "file_name", "ground_truth", "reason"])
 
     kind = raw.schema[key].dataType.simpleString()
-    rows = raw.select(key, record).dropDuplicates([key])  # a repeated key repeats its record
-    return rows.mapInArrow(parse, f"`{key}` {kind}, file_name string, ground_truth string, reason string")
+    rows = raw.select(key, record).mapInArrow(parse, f"`{key}` {kind}, file_name string, ground_truth string, reason string")
+    return rows.dropDuplicates([key])  # a repeated key repeats its record; after the map, so that rejects alone are shuffled narrow
 
 
 def rejects(raw: DataFrame) -> DataFrame:
