@@ -21,6 +21,7 @@ come out once for each row, items with an empty core never match.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from functools import reduce
 
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.text_core import codes, core, core_words, join_codes, rolling
+from gridloom.llm.text_core import codes, core, core_words, join_codes, rolling, slices
 from gridloom.session import ship_package
 
 #: Items of one broadcast block, and core characters of an item beyond which a block holds it alone.
@@ -40,7 +41,6 @@ WIDTH = {"zh": 8, "en": 10}
 PASSAGE, PASSAGE_WORDS = {"zh": 16, "en": 20}, 8
 TABLES, SAMPLED, SEED = 2, 14, 20240
 
-_ROWS = 1_500
 _LETTERS = re.compile(r"[a-z]+")
 
 
@@ -209,7 +209,8 @@ def _latin(text: str) -> list[str]:
     return _LETTERS.findall(text)
 
 
-_INDEX: dict[int, list[ItemIndex]] = {}
+#: The index of a worker, by the query it was built for.
+_INDEX: dict[str, list[ItemIndex]] = {}
 
 
 def _blocks(rows: list) -> Iterator[list]:
@@ -242,7 +243,7 @@ def leaked_items(documents: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def _searcher(held):
-    number = id(held)
+    number = uuid.uuid4().hex
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = _INDEX.get(number)
@@ -252,9 +253,9 @@ def _searcher(held):
                 ItemIndex(script, [(i, t) for i, s, t in held.value if s == script and core(t)]) for script in ("zh", "en")
             ]
         for batch in batches:
-            for start in range(0, batch.num_rows, _ROWS):
-                part = batch.slice(start, _ROWS)
-                ids, cores = part.column(0), [core(t) for t in part.column(1).to_pylist()]
+            texts = batch.column(1).to_pylist()
+            for start, end in slices(texts):
+                ids, cores = batch.column(0).slice(start, end - start), [core(t) for t in texts[start:end]]
                 rows = np.concatenate([x.search(cores) for x in index if len(x.ids)] or [np.zeros((0, 2), np.int64)])
                 yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows[:, 0])), pa.array(rows[:, 1], pa.int64())], names=["doc_id", "item_id"])
 

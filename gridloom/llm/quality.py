@@ -20,7 +20,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.functions.text import LINE_END, SPACES, strip
 from gridloom.llm.sampling import hash_sample
+from gridloom.llm.text_core import slices
 from gridloom.session import ship_package
 
 LABELS = ("prose", "list", "table", "junk")
@@ -29,7 +31,6 @@ STATES = ("text", "title", "entry", "series", "row", "signs", "letters")
 LABEL_OF = np.array([0, 0, 1, 1, 2, 3, 3])
 #: Documents the model is fitted on, rounds of fitting, and longest lines of one unit.
 SAMPLE, ROUNDS, UNIT = 3_000, 6, 400
-_ROWS = 1_000
 
 _BULLET = re.compile(r"^\s*(?:[-*+•·●○▪◦‣■□☐☑☒✓✔◆◇]|\\item\b|<li>)\s*(?=\S)")
 _NUMBER = re.compile(
@@ -297,7 +298,7 @@ class LineModel:
 
 def fitted_model(documents: DataFrame, common_words: DataFrame) -> LineModel:
     """Fit on about ``SAMPLE`` documents chosen by the hash of their id."""
-    rows = sorted(tuple(r) for r in hash_sample(documents, "doc_id", SAMPLE).select("doc_id", "text").where("text is not null and doc_id is not null").toLocalIterator())
+    rows = sorted(tuple(r) for r in hash_sample(documents, "doc_id", SAMPLE, "text").select("doc_id", "text").where("text is not null and doc_id is not null").toLocalIterator())
     words = [r[0] for r in common_words.where("word is not null").select("word").distinct().orderBy("word").limit(10_000).toLocalIterator()]
     return LineModel(words).fit([t for _, t in rows if t.strip()])
 
@@ -311,9 +312,9 @@ def line_shares(documents: DataFrame, common_words: DataFrame) -> DataFrame:
     def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         for batch in batches:
-            for start in range(0, batch.num_rows, _ROWS):
-                part = batch.slice(start, _ROWS)
-                features, sizes, counts = m.describe(part.column(1).to_pylist())
+            texts = batch.column(1).to_pylist()
+            for start, end in slices(texts, 1_000):
+                features, sizes, counts = m.describe(texts[start:end])
                 x = np.array(features) if features else np.zeros((0, len(CARDS)), np.int64)
                 label = LABEL_OF[m.states(x, counts)]
                 doc = np.repeat(np.arange(len(counts)), counts)
@@ -321,7 +322,7 @@ def line_shares(documents: DataFrame, common_words: DataFrame) -> DataFrame:
                 total = mass.sum(axis=1)
                 with np.errstate(invalid="ignore", divide="ignore"):
                     shares = mass / total[:, None]
-                arrays = [part.column(0), pa.array(total.astype(np.int64))]
+                arrays = [batch.column(0).slice(start, end - start), pa.array(total.astype(np.int64))]
                 arrays += [pa.array(shares[:, k], mask=total == 0) for k in range(4)]
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_seen", *LABELS])
 
@@ -334,3 +335,44 @@ def mostly_not_prose(documents: DataFrame, common_words: DataFrame) -> DataFrame
     shares = line_shares(documents, common_words)
     kind = F.coalesce(*[F.when(F.col(k) > 0.5, F.lit(k)) for k in LABELS[1:]])
     return shares.select("doc_id", kind.alias("kind")).where("kind is not null")
+
+
+#: Fixed values of the statistics: what is a word (a run of Latin letters and digits, or one ideograph), and what ends a line.
+WORD, LINE_ENDS = "[a-z0-9]+|[一-鿿]", "。！？.!?；;：:…"
+
+
+def text_statistics(documents: DataFrame, common_words: DataFrame) -> DataFrame:
+    """Counts and ratios of every text, in built-in expressions.
+
+    ``n_words``, ``mean_word_length``, ``symbol_ratio`` (of the non-space
+    characters), ``line_end_ratio`` (of the non-blank lines) and
+    ``common_ratio`` (of the words). A null text has null throughout; a ratio of
+    nothing is null. The common words (at most 10,000) become one pattern.
+    """
+    rows = common_words.where("word is not null").select(F.lower("word").alias("w")).distinct().orderBy("w").limit(10_000).collect()
+    latin = [r[0] for r in rows if re.fullmatch("[a-z0-9]+", r[0])]
+    others = [r[0] for r in rows if re.fullmatch("[一-鿿]", r[0])]
+    parts = ([f"(?<![a-z0-9])(?:{'|'.join(latin)})(?![a-z0-9])"] if latin else []) + ([f"[{''.join(others)}]"] if others else [])
+    low = F.lower("text")
+    n_words = F.regexp_count(low, F.lit(WORD))
+    in_words = F.length(F.regexp_replace(low, "[^a-z0-9一-鿿]", ""))
+    n_seen = F.length(F.regexp_replace("text", f"[{SPACES}]", ""))
+    n_symbols = F.length(F.regexp_replace("text", f"[{SPACES}0-9A-Za-z一-鿿]", ""))
+    n_common = F.regexp_count(low, F.lit("|".join(parts))) if parts else F.when(low.isNotNull(), 0)
+    counted = documents.select("doc_id", n_words.alias("w"), in_words.alias("c"), n_seen.alias("s"), n_symbols.alias("y"), n_common.alias("k"), _solid_ends("text").alias("e"))
+    ratio = lambda a, b: F.when(b > 0, a / b)
+    e = F.col("e")
+    return counted.select(
+        "doc_id",
+        F.col("w").cast("bigint").alias("n_words"),
+        ratio(F.col("c"), F.col("w")).alias("mean_word_length"),
+        ratio(F.col("y"), F.col("s")).alias("symbol_ratio"),
+        ratio(F.size(F.filter(e, lambda x: x)), F.size(e)).alias("line_end_ratio"),
+        ratio(F.col("k"), F.col("w")).alias("common_ratio"),
+    )
+
+
+def _solid_ends(column: str):
+    """For each non-blank line whether it ends in punctuation; null for a null text."""
+    lines = F.transform(F.split(column, LINE_END), strip)
+    return F.transform(F.filter(lines, lambda x: x != ""), lambda x: x.rlike(f"[{LINE_ENDS}]\\z"))

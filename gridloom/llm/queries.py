@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gridloom.functions.text import LINE_END, SPACES
 from gridloom.llm.leak import leaked_items
 from gridloom.llm.markup import clean_texts, markup_kinds, template_classes, texts_of
 from gridloom.llm.overlap import overlap_counts, overlapping_files
-from gridloom.llm.quality import line_shares, mostly_not_prose
+from gridloom.llm.quality import LINE_ENDS, WORD, line_shares, mostly_not_prose, text_statistics
 from gridloom.llm.repetition import cutoff_table, repetition, repetitive_rows
 from gridloom.llm.slicing import cut_slices, slice_pieces
 from gridloom.llm.splits import regrouped_splits, torn_groups
@@ -141,3 +142,20 @@ def p7_clean(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def p7_templates(spark: SparkSession, folder: str) -> DataFrame:
     return template_classes(texts_of(_cells(spark, folder), _records(spark, folder)))
+
+
+@_query
+def p10_stats(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read_table(spark, folder, "documents", "doc_id", "text")
+    return text_statistics(documents, read_table(spark, folder, "common_words", "lang", "word"))
+
+
+_SOLID = f"list_filter(list_transform(string_split_regex(text, '{LINE_END}'), lambda v: regexp_replace(v, '^[{SPACES}]+|[{SPACES}]+$', '', 'g')), lambda v: v <> '')"
+ORACLE["p10_stats"] = f"""
+    WITH k AS (SELECT list(DISTINCT lower(word)) AS ws FROM common_words WHERE word IS NOT NULL),
+    c AS (SELECT doc_id, regexp_extract_all(lower(text), '{WORD}') AS words, length(regexp_replace(lower(text), '[^a-z0-9一-鿿]', '', 'g')) AS c, length(regexp_replace(text, '[{SPACES}]', '', 'g')) AS s,
+      length(regexp_replace(text, '[{SPACES}0-9A-Za-z一-鿿]', '', 'g')) AS y, {_SOLID} AS l FROM documents)
+    SELECT doc_id, len(words) AS n_words, CASE WHEN len(words) > 0 THEN c / len(words) END AS mean_word_length, CASE WHEN s > 0 THEN y / s END AS symbol_ratio,
+      CASE WHEN len(l) > 0 THEN len(list_filter(l, lambda v: regexp_matches(v, '[{LINE_ENDS}]$'))) / len(l) END AS line_end_ratio,
+      CASE WHEN len(words) > 0 THEN len(list_filter(words, lambda w: list_contains(ws, w))) / len(words) END AS common_ratio
+    FROM c, k"""

@@ -6,14 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _RANGE = 1 << 30
+#: Longest text that a fit is shown.
+SAMPLE_CHARS = 20_000
 
 
-def hash_sample(df: DataFrame, key: str, size: int) -> DataFrame:
+def hash_sample(df: DataFrame, key: str, size: int, text: str | None = None) -> DataFrame:
     """About ``size`` rows chosen by the hash of ``key``, at most twice as many; all rows if there are no more.
 
-    One count and one filtered scan; nothing is sorted or gathered.
+    One count and one filtered scan; nothing is sorted or gathered. With
+    ``text``, rows whose text is over ``SAMPLE_CHARS`` are not taken, which
+    bounds what a driver holds of a sample.
     """
     n = df.count()
+    if text is not None:
+        df = df.where(F.length(text) <= SAMPLE_CHARS)
     if n <= size:
         return df
     share = int(_RANGE * (size / n))

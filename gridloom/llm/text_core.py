@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
 
@@ -67,6 +68,18 @@ def core_words(text: str | None) -> list[str]:
     return _WORD.findall(fold(_INVISIBLE.sub("", drop_markup(text))))
 
 
+def slices(texts: list[str | None], rows: int = 1_500, chars: int = 4_000_000) -> Iterator[tuple[int, int]]:
+    """Ranges of a batch that hold at most so many rows, and not many more characters than a text must have alone."""
+    start, held = 0, 0
+    for i, t in enumerate(texts):
+        held += len(t or "")
+        if i + 1 - start >= rows or held >= chars:
+            yield start, i + 1
+            start, held = i + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
+
+
 def codes(text: str) -> np.ndarray:
     """Code points of a text."""
     return np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)

@@ -23,6 +23,7 @@ produced; their spelling is ordinary text.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterator
 from itertools import chain
 
@@ -31,6 +32,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from gridloom.llm.text_core import slices
 from gridloom.session import ship_package
 
 #: Words remembered by one worker; beyond it the memory starts afresh.
@@ -264,18 +266,8 @@ class Automaton:
         return b"".join(self.labels[i] for i in ids).decode("utf-8", "replace")
 
 
-_BUILT: dict[int, Automaton] = {}
-
-
-def _slices(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    start, chars = 0, 0
-    for i, t in enumerate(texts):
-        chars += len(t or "")
-        if i + 1 - start >= SLICE_ROWS or chars >= SLICE_CHARS:
-            yield start, i + 1
-            start, chars = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+#: The automaton of a worker, by the query it was built for.
+_BUILT: dict[str, Automaton] = {}
 
 
 def encode_corpus(df: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
@@ -287,7 +279,7 @@ def encode_corpus(df: DataFrame, key: str = "doc_id", text: str = "text", path:
     spark = df.sparkSession
     ship_package(spark)
     source = spark.sparkContext.broadcast((*read_merges(tokenizer_file(path=path)), pre_split_pattern()))
-    number = id(source)
+    number = uuid.uuid4().hex
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = _BUILT.get(number)
@@ -296,7 +288,7 @@ def encode_corpus(df: DataFrame, key: str = "doc_id", text: str = "text", path:
             machine = _BUILT[number] = Automaton(*source.value)
         for batch in batches:
             texts, keys = batch.column(1).to_pylist(), batch.column(0)
-            for start, end in _slices(texts):
+            for start, end in slices(texts, SLICE_ROWS, SLICE_CHARS):
                 ids = machine.encode(texts[start:end])
                 offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm.sampling import hash_sample
-from gridloom.session import ship_package
+from gridloom.session import cut_lineage, ship_package
 
 #: Rows the classifier is fitted on, cuts made of each intact row, width of the hashed features.
 SAMPLE, CUTS, BITS = 6_000, 3, 16
@@ -35,6 +35,7 @@ _CLOSED = re.compile(r"[。！？.!?][\s\"'”’」』）)*`_]*(?:\{\{[^{}]*\}\
 _MARK = re.compile(r"(?:\s*(?:\[[^\[\]\n]{1,24}\]|[（(<【][^（）()<>【】\n]{1,12}[)）>】]|\.{3,}|…+|~+|—{1,2}|-{2,3}|\ufffd+))+\s*$")
 _TOKEN = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)(?:\s[^<>]*)?(/?)>")
 _VOID = frozenset(("br", "hr", "img", "input", "meta", "link", "col"))
+_BLOCK_END = re.compile(r"(?:</(?:ul|ol|pre|div|blockquote)>|\\end\{[a-z]+\})$")
 _ENV = re.compile(r"\\(begin|end)\{([^{}]*)\}")
 _PAIRS = {"(": ")", "（": "）", "[": "]", "{": "}", "《": "》", "“": "”", "「": "」", "【": "】"}
 _BULLET = re.compile(r"^\s*(?:[-*·•]|\\item|[0-9]+[.、)]|[（(][0-9]+[)）])")
@@ -132,6 +133,8 @@ def features(text: str, lengths: frozenset[int], closers: frozenset[str]) -> lis
         out.append(f"env{closer}:{envs[-1]}{done}")
     if body.count("{|") > body.count("|}"):
         out.append(f"wikitable{closer}")
+    if body.endswith(("</table>", "|}", "```")) or _BLOCK_END.search(body[-40:]):
+        out.append(f"block{closer}:{len(stack)}{len(envs)}{body.count('```') % 2}")
     kind, n = cells(last)
     above = lines[0].rstrip("\n").rsplit("\n", 2)[-2:] if len(lines) > 1 else []
     peers = [m for k, m in map(cells, above) if k == kind]
@@ -243,28 +246,23 @@ class Classifier:
 
 def fitted_classifier(cells_: DataFrame, text: str = "ground_truth", key: str = "row_id") -> Classifier:
     """Corpus counts over all rows, then the fit on a bounded sample."""
-    held = cells_.where(F.length(F.trim(text)) > 0).select(key, text).dropDuplicates([key])
     tail = F.regexp_extract(F.rtrim(F.regexp_replace(F.substring(F.col(text), -160, 160), r"\s+$", "")), r"\n([^\n]{1,24})$", 1)
-    stats = held.select(
-        F.explode(
-            F.array(
-                F.concat(F.lit("n"), F.length(text).cast("string")),
-                F.concat(F.lit("n"), F.octet_length(text).cast("string")),
-                F.concat(F.lit("c"), F.trim(F.regexp_replace(tail, r"[0-9]+", "9"))),
-            )
-        ).alias("what"),
-        F.length(text).alias("size"),
-    ).where("what <> 'c'")
-    counts = stats.groupBy("what").agg(F.count("*").alias("n"), F.avg("size").alias("size")).where(F.col("n") >= LEAST)
+    closing = F.trim(F.regexp_replace(tail, r"[0-9]+", "9"))
+    # Each key once, after texts are reduced to what is counted.
+    held = cells_.where(F.length(F.trim(text)) > 0)
+    narrow = held.select(key, F.length(text).alias("chars"), F.octet_length(text).alias("bytes"), closing.alias("closing")).dropDuplicates([key])
+    whats = F.array(F.concat(F.lit("n"), F.col("chars").cast("string")), F.concat(F.lit("n"), F.col("bytes").cast("string")), F.concat(F.lit("c"), "closing"))
+    stats = narrow.select(F.explode(whats).alias("what")).where("what <> 'c'")
+    counts = cut_lineage(stats.groupBy("what").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST))
     odd = F.col("what").rlike(r"[。；;，,|.:：、]$|^c[-*·#=]|  |9 9|[&<>|\\]")
     closers = counts.where(F.col("what").startswith("c") & ~odd).orderBy(F.desc("n"), "what").limit(CLOSERS)
     # A limit is a length that several times as many rows have as the lengths around it.
-    n_rows, longest = held.agg(F.count("*"), F.max(F.octet_length(text))).first()
+    n_rows, longest = narrow.agg(F.count("*"), F.max("bytes")).first()
     level = max(LEAST, 6 * n_rows // max(1, longest or 1))
     piled = counts.where(F.col("what").startswith("n") & (F.col("n") >= level) & (F.substring("what", 2, 12).cast("int") > 64)).orderBy(F.desc("n"), "what").limit(LENGTHS)
     lengths = frozenset(int(r[0][1:]) for r in piled.select("what").toLocalIterator())
     marks = frozenset(r[0][1:] for r in closers.select("what").toLocalIterator())
-    rows = sorted(tuple(r) for r in hash_sample(held, key, SAMPLE).where(F.col(key).isNotNull()).toLocalIterator())
+    rows = sorted(tuple(r) for r in hash_sample(held.select(key, text), key, SAMPLE, text).where(F.col(key).isNotNull()).dropDuplicates([key]).toLocalIterator())
     return Classifier(lengths, marks).fit([t for _, t in rows])
 
 

@@ -182,3 +182,12 @@ def test_quality(spark):
 def test_core():
     assert text_core.core("<b>Ａ</b>&nbsp;１２ [x](#s1) \\textbf{y} ，。") == "a12xy"
     assert text_core.core(None) == "" and text_core.core_words("Re-start, NOW's") == ["re", "start", "now", "s"]
+
+
+def test_statistics(spark):
+    words = spark.createDataFrame([("zh", "的"), ("en", "the"), ("en", None), ("en", "The")], "lang string, word string")
+    df = spark.createDataFrame([(1, "The cat。\n的 x!\n- y", "c"), (2, None, "c"), (3, "", "c"), (4, " \n", "c"), (5, "#?", "c")], "doc_id long, text string, n_words string")
+    got = {r["doc_id"]: tuple(r)[1:] for r in quality.text_statistics(df, words).collect()}
+    assert got[1] == (5, 9 / 5, 3 / 12, 2 / 3, 2 / 5)
+    assert got[2] == (None,) * 5 and got[3] == got[4] == (0, None, None, None, None) and got[5] == (0, None, 1.0, 1.0, None)
+    assert quality.text_statistics(df.limit(0), words.limit(0)).count() == 0
