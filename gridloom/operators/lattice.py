@@ -276,6 +276,225 @@ def monotonic_keys(values: list[int | None], most: int = 120, stride: int = 3) -
     return path, sum(v == k for v, k in zip(values, path))
 
 
+@dataclass(frozen=True)
+class Body:
+    """Numbers laid out on columns and rows, before any header is known."""
+
+    xs: list[float]
+    ys: list[float]
+    cells: dict[tuple[int, int], Box]
+
+    @property
+    def coverage(self) -> float:
+        return len(self.cells) / max(1, len(self.xs) * len(self.ys))
+
+    def row(self, r: int) -> list[str]:
+        return [self.cells[r, c].text.strip() if (r, c) in self.cells else "" for c in range(len(self.xs))]
+
+    def right_edge(self, r: int) -> int:
+        return max((c for c in range(len(self.xs)) if (r, c) in self.cells), default=-1)
+
+
+def body_lattice(boxes: list[Box], least_share: float = 0.04) -> Body | None:
+    """Columns and rows of all boxes by clustering; thin columns close to a fuller one go to it."""
+    if not boxes:
+        return None
+    tall = median(b.height for b in boxes)
+    columns = clusters([b.x for b in boxes], max(8.0, 0.35 * tall))
+    rows = clusters([b.y for b in boxes], 0.6 * tall)
+    most = max(n for _, n in columns)
+    xs = _without_thin_neighbours([(c, n) for c, n in columns if n >= max(3, least_share * most)])
+    ys = [c for c, n in rows if n >= 2]
+    if len(xs) < 2 or len(ys) < 2:
+        return None
+    return Body(xs, ys, assign(boxes, xs, ys))
+
+
+def _without_thin_neighbours(columns: list[tuple[float, int]]) -> list[float]:
+    """Of two columns closer than 0.45 of the usual gap the one with half the evidence or less is dropped."""
+    gaps = [b[0] - a[0] for a, b in zip(columns, columns[1:])]
+    usual, out = (median(gaps) if gaps else 0.0), list(columns)
+    i = 0
+    while i + 1 < len(out):
+        (x0, n0), (x1, n1) = out[i], out[i + 1]
+        if x1 - x0 < 0.45 * usual and min(n0, n1) * 2 <= max(n0, n1):
+            del out[i if n0 < n1 else i + 1]
+        else:
+            i += 1
+    return [c for c, _ in out]
+
+
+def reset_groups(edges: list[int], least_jump: int = 4, least_rows: int = 4) -> list[int]:
+    """Group of each row: a new one where the right edge jumps out again after enough rows."""
+    out, group, since = [], 0, 0
+    for i, e in enumerate(edges):
+        if i and e - edges[i - 1] >= least_jump and since >= least_rows and len(edges) - i >= least_rows:
+            group, since = group + 1, 0
+        out.append(group)
+        since += 1
+    return out
+
+
+def triangular_grid(boxes: list[Box]) -> Grid | None:
+    """Headerless values whose right edge shrinks row by row: 300 numbers, 14 to 128 columns, 30 to 200 rows, a quarter to four fifths filled."""
+    numeric = [replace(b, text=t) for b in merge_fragments(boxes) if (t := number(b.text)) is not None]
+    if len(numeric) < 300:
+        return None
+    body = body_lattice(numeric)
+    if body is None or not 14 <= len(body.xs) <= 128 or not 30 <= len(body.ys) <= 200 or not 0.25 <= body.coverage <= 0.80:
+        return None
+    edges = [body.right_edge(r) for r in range(len(body.ys))]
+    groups = reset_groups(edges, max(4, len(body.xs) // 5), max(4, min(20, len(body.xs) // 4)))
+    falls = sum(b <= a for a, b, g, h in zip(edges, edges[1:], groups, groups[1:]) if g == h)
+    if falls < 0.9 * (len(edges) - 1 - groups[-1]):
+        return None
+    rows = tuple(tuple(body.row(r)) for r in range(len(body.ys)))
+    return Grid(tuple(f"c{c + 1}" for c in range(len(body.xs))), rows, False)
+
+
+def fixed_grid(boxes: list[Box]) -> Grid | None:
+    """Headerless rows of up to three labels and values: 7 to 20 columns, 20 rows, four fifths filled; missing labels from the nearest row."""
+    body = body_lattice([b for b in merge_fragments(boxes) if b.text.strip()])
+    if body is None or not 7 <= len(body.xs) <= 20 or len(body.ys) < 20 or body.coverage < 0.80:
+        return None
+    rows = [body.row(r) for r in range(len(body.ys))]
+    if sum(number(c) is not None for row in rows for c in row[3:]) < 0.8 * sum(len(row) - 3 for row in rows):
+        return None
+    for c in range(3):
+        fill_nearest(rows, c)
+    repair_columns(rows)
+    return Grid(tuple(f"c{c + 1}" for c in range(len(body.xs))), tuple(map(tuple, rows)), False)
+
+
+def sequential_records(boxes: list[Box]) -> Grid | None:
+    """Headerless records with a column that counts up by one and starts again: 5 to 12 columns, 30 to 500 rows, 82 % filled."""
+    body = body_lattice([b for b in merge_fragments(boxes) if b.text.strip()])
+    if body is None or not 5 <= len(body.xs) <= 12 or not 30 <= len(body.ys) <= 500 or body.coverage < 0.82:
+        return None
+    rows = [body.row(r) for r in range(len(body.ys))]
+    for c in range(len(body.xs)):
+        values = [int(row[c]) if row[c].isdigit() else None for row in rows]
+        steps = sum(a is not None and b is not None and (b == a + 1 or b <= 1) for a, b in zip(values, values[1:]))
+        if steps >= 0.8 * (len(rows) - 1):
+            for r in range(1, len(rows)):  # a gap within a run is filled
+                if values[r] is None and values[r - 1] is not None and (r + 1 == len(rows) or values[r + 1] == values[r - 1] + 2):
+                    values[r] = values[r - 1] + 1
+                    rows[r][c] = str(values[r])
+            return Grid(tuple(f"c{k + 1}" for k in range(len(body.xs))), tuple(map(tuple, rows)), False)
+    return None
+
+
+def annual_matrix(boxes: list[Box]) -> Grid | None:
+    """Labels, an age, then one column a year (headed 1, 2, 3 ...): 100 numbers, 20 rows, 35 % filled.
+
+    Rows form groups in which the age climbs; ages are laid along the path that
+    fits best, other labels come from the nearest row of the group.
+    """
+    merged = merge_fragments(boxes)
+    numeric = [replace(b, text=t) for b in merged if (t := number(b.text)) is not None]
+    if len(numeric) < 100:
+        return None
+    tall = median(b.height for b in numeric)
+    head = _header_band(numeric, clusters([b.y for b in numeric], 0.6 * tall), tall)
+    if head is None:
+        return None
+    top, axis = head
+    years = [b for b in axis if 1 <= int(b.text) <= 254]
+    if len(years) < 5 or int(years[0].text) != 1:
+        return None
+    first = years[0].x
+    below = [b for b in merged if b.y > top + 0.6 * tall and b.text.strip()]
+    body = body_lattice(below)
+    if body is None or len(body.ys) < 20:
+        return None
+    from_ = next((c for c, x in enumerate(body.xs) if x >= first - max(20.0, 0.42 * _least_gap(body.xs))), None)
+    if not from_:
+        return None
+    n_years = len(body.xs) - from_
+    filled = sum(c >= from_ for _, c in body.cells)
+    if filled < 0.35 * n_years * len(body.ys):
+        return None
+    rows = [body.row(r) for r in range(len(body.ys))]
+    groups = reset_groups([body.right_edge(r) for r in range(len(body.ys))], max(4, n_years // 5), max(4, min(20, n_years // 4)))
+    for g in range(groups[-1] + 1):
+        part = [r for r, h in enumerate(groups) if h == g]
+        path, inliers = monotonic_keys([int(rows[r][from_ - 1]) if rows[r][from_ - 1].isdigit() and int(rows[r][from_ - 1]) <= 120 else None for r in part])
+        if inliers >= 0.5 * len(part):
+            for r, age in zip(part, path):
+                rows[r][from_ - 1] = str(age)
+        block = [rows[r] for r in part]
+        for c in range(from_ - 1):
+            fill_nearest(block, c)
+    repair_columns(rows, range(from_ - 1))
+    labels = [""] * from_
+    for b in merged:
+        if abs(b.y - top) <= tall and b.x < first - tall and number(b.text) is None:
+            labels[min(from_ - 1, _nearest(body.xs, b.x))] += b.text.strip()
+    return Grid((*labels, *(str(c + 1) for c in range(n_years))), tuple(map(tuple, rows)))
+
+
+def _least_gap(xs: list[float]) -> float:
+    return min((b - a for a, b in zip(xs, xs[1:]) if b > a), default=80.0)
+
+
+def fill_nearest(rows: list[list[str]], column: int) -> None:
+    """Empty cells of a column from the nearest filled row, the earlier on a tie."""
+    filled = [r for r, row in enumerate(rows) if row[column]]
+    for r, row in enumerate(rows):
+        if not row[column] and filled:
+            near = min(filled, key=lambda k: (abs(k - r), k))
+            row[column] = rows[near][column]
+
+
+def repair_columns(rows: list[list[str]], columns=None, share: float = 0.85, least: int = 10) -> None:
+    """In columns that one value fills by ``share`` the others become that value if they are a part of it or hold it."""
+    for c in columns if columns is not None else range(min(3, len(rows[0]) if rows else 0)):
+        counted = Counter(row[c] for row in rows if row[c])
+        if sum(counted.values()) < least:
+            continue
+        value, n = min(counted.items(), key=lambda kv: (-kv[1], kv[0]))
+        if n >= share * sum(counted.values()):
+            for row in rows:
+                if row[c] and (row[c] in value or value in row[c]):
+                    row[c] = value
+
+
+def collapse_seam_column(grid: Grid) -> Grid:
+    """A column without heading between two that count on, whose cells complete those to its left, is merged into them."""
+    header, rows = list(grid.header), [list(r) for r in grid.rows]
+    c = 1
+    while c < len(header):
+        if not header[c]:
+            joined = [(r, _whole_number(row[c - 1], row[c])) for r, row in enumerate(rows) if row[c]]
+            if len(joined) >= 3 and all(t is not None for _, t in joined):
+                for r, t in joined:
+                    rows[r][c - 1] = t
+                del header[c]
+                for row in rows:
+                    del row[c]
+                continue
+        c += 1
+    return Grid(tuple(header), tuple(map(tuple, rows)), grid.explicit)
+
+
+def impossible_axis(grid: Grid) -> bool:
+    """A year or age axis that starts below zero cannot be right."""
+    label = grid.header[0] if grid.header else ""
+    axis = [int(h) for h in grid.header[1:] if re.fullmatch(r"[+-]?\d+", h)]
+    return bool(axis) and axis[0] < 0 and bool(re.search(r"年|龄|age|year", label, re.I))
+
+
+def matrix(boxes: list[Box]) -> Grid | None:
+    """The first reading that holds: annual, triangular, fixed, sequential, then by headings; fewer than 20 boxes are none."""
+    if len(boxes) < 20:
+        return None
+    for read in (annual_matrix, triangular_grid, fixed_grid, sequential_records, semantic_matrix):
+        grid = read(boxes)
+        if grid is not None and not impossible_axis(grid):
+            return collapse_seam_column(grid)
+    return None
+
+
 def _grouped(boxes: DataFrame, key: str) -> DataFrame:
     """Distinct boxes of each key; boxes with a missing place or size cannot be placed."""
     whole = boxes.where(" and ".join(f"{c} is not null" for c in (key, "x", "y", "width", "height", "confidence", "text")))
@@ -302,4 +521,4 @@ def reading_order(boxes: DataFrame, key: str) -> DataFrame:
 
 def matrices(boxes: DataFrame, key: str) -> DataFrame:
     """``(key, text)``: the matrix of each group as pipes, null where there is none."""
-    return _map_boxes(boxes, key, "string", lambda bs: (g := semantic_matrix(bs)) and to_pipe(g))
+    return _map_boxes(boxes, key, "string", lambda bs: (g := matrix(bs)) and to_pipe(g))

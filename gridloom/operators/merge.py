@@ -6,13 +6,15 @@ page; a page's tiles are bounded by its pixels.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from difflib import SequenceMatcher
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.functions.tables import Grid, join_row, parse_html, parse_pipe, tidy, to_html, to_pipe
+from gridloom.functions.tables import Grid, join_row, parse_html, parse_pipe, stats, tidy, to_html, to_pipe
 from gridloom.functions.text import let, lines, strip
 from gridloom.session import ship_package
 
@@ -224,6 +226,116 @@ def _laid_along(short: list[str], long: list[str]) -> list[str]:
     return out
 
 
+_TABLES = re.compile(r"<table\b.*?</table\s*>", re.I | re.S)
+
+
+def coalesce_adjacent(text: str) -> str:
+    """HTML tables with nothing but space between them become one where they are equally wide and their row numbers go on."""
+    found = list(_TABLES.finditer(text))
+    out, at = [], 0
+    run: list[re.Match] = []
+
+    def flush() -> None:
+        if run:
+            bodies = [re.sub(r"^<table[^<>]*>|</table\s*>$", "", m.group(), flags=re.I) for m in run]
+            out.append(re.match(r"<table[^<>]*>", run[0].group(), re.I).group() + "".join(bodies) + "</table>")
+            run.clear()
+
+    for m in found:
+        if run and text[run[-1].end() : m.start()].strip() == "" and _goes_on(run[-1].group(), m.group()):
+            run.append(m)
+        else:
+            flush()
+            out.append(text[at : m.start()])
+            run.append(m)
+        at = m.end()
+    flush()
+    return "".join([*out, text[at:]])
+
+
+def _goes_on(left: str, right: str) -> bool:
+    a, b = parse_html(left), parse_html(right)
+    if a is None or b is None or len(a.header) != len(b.header) or len(a.header) < 2:
+        return False
+    number = lambda g: [int(r[0]) for r in (g.header, *g.rows) if tidy(r[0]).isdigit()]
+    x, y = number(a), number(b)
+    return bool(x) and bool(y) and min(y) == max(x) + 1
+
+
+def block_overlap(left: list[str], right: list[str], most: int = 8, least: int = 2) -> int:
+    """The longest run of blocks at the end of one that come again at the start of the other; long blocks need only be alike."""
+    alike = lambda a, b: a == b or (len(a) >= 80 and len(b) >= 80 and SequenceMatcher(None, a, b).ratio() >= 0.94)
+    for k in range(min(most, len(left), len(right)), least - 1, -1):
+        if all(map(alike, left[-k:], right[:k])):
+            return k
+    return 0
+
+
+def merge_blocks(parts: list[str]) -> str:
+    done: list[str] = []
+    for part in parts:
+        blocks = [" ".join(b.split()) for b in re.split(r"\n\s*\n", part) if b.strip()]
+        raw = [b.strip("\n") for b in re.split(r"\n\s*\n", part) if b.strip()]
+        done += raw[block_overlap([" ".join(b.split()) for b in done], blocks) :]
+    return "\n\n".join(done) + "\n" if done else ""
+
+
+def keep_context(previous: str, repaired: str) -> str:
+    """The prose around the previous table with the repaired table in it, if both have one table with the same header or axis."""
+    split = lambda t: re.match(r"(?s)(.*?)((?:^[ \t]*\|[^\n]*(?:\n|\Z))+)(.*)\Z", t, re.M)
+    a, b = split(previous), split(repaired)
+    if not a or not b:
+        return repaired
+    old, new = parse_pipe(a.group(2)), parse_pipe(b.group(2))
+    if old is None or new is None or not _compatible(old.header, new.header):
+        return repaired
+    return a.group(1) + b.group(2).rstrip("\n") + "\n" + a.group(3)
+
+
+def _compatible(a: tuple[str, ...], b: tuple[str, ...]) -> bool:
+    if _same(a, b):
+        return True
+    axis = lambda h: [tidy(c) for c in h if tidy(c).isdigit()]
+    return len(axis(a)) >= 4 and axis(a) == axis(b) and (tidy(a[0]) in tidy(b[0]) or tidy(b[0]) in tidy(a[0]))
+
+
+def thousands_by_vote(grid: Grid, least: int = 10, times: int = 3) -> Grid:
+    """Columns in which most thousands are set off by commas get commas where a point stands for one."""
+    rows = [list(r) for r in grid.rows]
+    for c in range(len(grid.header)):
+        cells = [r[c] for r in rows if c < len(r)]
+        commas = sum(bool(re.fullmatch(r"\d{1,3}(?:,\d{3})+(?:\.\d+)?", v)) for v in cells)
+        points = sum(bool(re.fullmatch(r"\d{1,3}\.\d{3}", v)) for v in cells)
+        if commas >= least and commas >= times * points:
+            for r in rows:
+                if c < len(r) and re.fullmatch(r"\d{1,3}\.\d{3}", r[c]):
+                    r[c] = r[c].replace(".", ",")
+    return Grid(grid.header, tuple(map(tuple, rows)), grid.explicit)
+
+
+def deepest_heading(text: str) -> str | None:
+    """The label of the one heading at the deepest level before the first table, or None."""
+    before = re.split(r"<table\b|^[ \t]*\|", text, maxsplit=1, flags=re.I | re.M)[0]
+    heads = [(len(m.group(1)), m.group(2).strip()) for m in re.finditer(r"^(#{1,6})[ \t]+(.+)$", before, re.M)]
+    if not heads:
+        return None
+    level = max(n for n, _ in heads)
+    labels = {t for n, t in heads if n == level}
+    return labels.pop() if len(labels) == 1 else None
+
+
+def remerge(base: str, tiles: list[tuple[int, int, str]], max_duplicate: float = 0.30) -> str | None:
+    """The rebuilt page if it only repairs the base: tables rebuilt, no more of them, as many rows, little repetition; else None."""
+    built = rebuild(tiles)
+    if built is None:
+        return None
+    old, new = stats(base), stats(built)
+    solid = [tidy(x) for x in built.splitlines() if x.strip()]
+    if new[0] > old[0] or new[1] != old[1] or 1 - len(set(solid)) / max(1, len(solid)) > max_duplicate:
+        return None
+    return built
+
+
 def rebuild_pages(tiles: DataFrame, key: str, row: str = "row", col: str = "col", text: str = "text") -> DataFrame:
     """``(key, text)``: the tables of each page from its tiles, null where they cannot be put together."""
     ship_package(tiles.sparkSession)
