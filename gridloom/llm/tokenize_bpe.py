@@ -137,7 +137,8 @@ class Automaton:
             self.left[made], self.right[made], self.order[made] = a, b, k + 1
         table = np.array(sorted((a * n + b, self.order[made]) for a, b, made in rules), np.int64).reshape(-1, 2)
         self.rule_keys, self.rule_order, self.n = table[:, 0].copy(), table[:, 1].copy(), n
-        self.pairs, self.memory = _PairTable(), {}
+        self.pairs = _PairTable()
+        self.forget()
         self._compile_bytes()
 
     def _compile_bytes(self) -> None:
@@ -216,15 +217,15 @@ class Automaton:
             holds[~known] = self.pairs.find(keys[~known])[1]
         return holds
 
-    def _encode_words(self, words: list[bytes]) -> list[tuple[int, ...]]:
-        """The ids of each non-empty word."""
+    def _encode_words(self, words: list[bytes]) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """Non-empty words: their order by length, and in that order all ids and the number of ids of each."""
         order = sorted(range(len(words)), key=lambda i: -len(words[i]))
         size = np.array([len(words[i]) for i in order])
         text = np.frombuffer(b"".join(words[i] for i in order), np.uint8)
         start = np.concatenate(([0], np.cumsum(size)[:-1]))
         last = np.empty(len(text), np.int32)
         state = np.zeros(len(words), np.int64)
-        count, active = np.searchsorted(-size, -np.arange(1, int(size[0]) + 1), side="right"), len(words)
+        count = np.searchsorted(-size, -np.arange(1, int(size[0]) + 1), side="right")
         for i in range(int(size[0])):
             active = int(count[i])
             at = start[:active] + i
@@ -239,28 +240,46 @@ class Automaton:
                 before[open_] = at[open_] - self.size[token[open_]]
                 open_ = open_[before[open_] >= start[open_]]
             last[at] = token
-        spans, ids = self.size.tolist(), last.tolist()
-        out: list[tuple[int, ...]] = [()] * len(words)
-        for k, i in enumerate(order):
-            first, at, path = int(start[k]), int(start[k] + size[k]) - 1, []
-            while at >= first:
-                token = ids[at]
-                path.append(token)
-                at -= spans[token]
-            out[i] = tuple(path[::-1])
-        return out
-
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        # From each end back along the path, all words at once.
+        ends = np.zeros(len(text), np.bool_)
+        at, word = start + size - 1, np.arange(len(words))
+        while word.size:
+            ends[at] = True
+            at = at - self.size[last[at]]
+            open_ = at >= start[word]
+            at, word = at[open_], word[open_]
+        path = np.flatnonzero(ends)
+        return order, last[path], np.diff(np.searchsorted(path, np.append(start, len(text))))
+
+    def _remember(self, words: list[str]) -> None:
+        if len(self.memory) + len(words) > MEMORY_WORDS:
+            self.forget()
+        order, ids, counts = self._encode_words([w.encode("utf-8", "replace") for w in words])
+        rows = len(self.memory)
+        self.memory.update((words[i], rows + k) for k, i in enumerate(order))
+        first = len(self.flat) + np.concatenate(([0], np.cumsum(counts)[:-1]))
+        self.flat = np.concatenate([self.flat, ids])
+        self.first, self.count = np.concatenate([self.first, first]), np.concatenate([self.count, counts])
+
+    def forget(self) -> None:
+        self.memory: dict[str, int] = {}
+        self.flat, self.first, self.count = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after another, and where those of each text start (with the end)."""
         split = [self.pattern.findall(t) if t else [] for t in texts]
-        new = list(dict.fromkeys(w for words in split for w in words if w not in self.memory))
+        distinct = dict.fromkeys(chain.from_iterable(split))
+        new = [w for w in distinct if w not in self.memory]
+        if new and len(self.memory) + len(new) > MEMORY_WORDS:
+            self.forget()
+            new = list(distinct)
         if new:
-            if len(self.memory) + len(new) > MEMORY_WORDS:
-                self.memory = {}
-                new = list(dict.fromkeys(w for words in split for w in words))
-            coded = self._encode_words([w.encode("utf-8", "replace") for w in new])
-            self.memory.update(zip(new, coded))
-        get = self.memory.__getitem__
-        return [np.fromiter(chain.from_iterable(map(get, words)), np.int32) for words in split]
+            self._remember(new)
+        words = np.fromiter(map(self.memory.__getitem__, chain.from_iterable(split)), np.int64)
+        counts = self.count[words]
+        upto = np.concatenate(([0], np.cumsum(counts)))
+        ids = self.flat[np.repeat(self.first[words] - upto[:-1], counts) + np.arange(int(upto[-1]))]
+        return ids, upto[np.cumsum([0, *map(len, split)])]
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(self.labels[i] for i in ids).decode("utf-8", "replace")
@@ -289,9 +308,8 @@ def encode_corpus(df: DataFrame, key: str = "doc_id", text: str = "text", path:
         for batch in batches:
             texts, keys = batch.column(1).to_pylist(), batch.column(0)
             for start, end in slices(texts, SLICE_ROWS, SLICE_CHARS):
-                ids = machine.encode(texts[start:end])
-                offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)))
+                ids, offsets = machine.encode(texts[start:end])
+                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([keys.slice(start, end - start), lists], names=[key, "ids"])
 
     kind = df.schema[key].dataType.simpleString()

@@ -118,9 +118,14 @@ def test_tokens_equal_public_tokenizer(spark):
     texts = ["", "a", " a  b\n\n c", "aaaaaaaaaaaaaaaa", "<|endoftext|> x", "it's we'll 123456", "龘靐齉爩" * 300, "👨‍⚕️½\u200b\ufeff", LONG[:5_000], "x" * 3_000, "\r\n\t" * 50]
     texts += ["".join(rng.choice("ab 1.,\n的保é龘😀'") for _ in range(rng.randrange(60))) for _ in range(300)]
     machine = tokenize_bpe.Automaton(*tokenize_bpe.read_merges(tokenize_bpe.tokenizer_file()), tokenize_bpe.pre_split_pattern())
-    got = [x.tolist() for x in machine.encode(texts)]
+    ids, ends = machine.encode(texts)
+    got = [ids[a:b].tolist() for a, b in zip(ends, ends[1:])]
     assert got == [e.ids for e in ref.encode_batch(texts, add_special_tokens=False)]
     assert [machine.decode(x) for x in got] == texts
+    tokenize_bpe_words, tokenize_bpe.MEMORY_WORDS = tokenize_bpe.MEMORY_WORDS, 40
+    again, _ = machine.encode(texts)  # more words than are remembered
+    tokenize_bpe.MEMORY_WORDS = tokenize_bpe_words
+    assert again.tolist() == ids.tolist()
     rows = [(i, t, "clash") for i, t in enumerate(texts[:20])] + [(98, None, ""), (99, "", ""), (99, "", ""), (None, "a", "")]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids string")
     out = {r["doc_id"]: r["ids"] for r in tokenize_bpe.encode_corpus(df).collect()}
