@@ -49,17 +49,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make the package importable on executors that do not have it installed."""
+    """Make the package importable by the Python workers, wherever they run and whatever their folder.
+
+    The archive is served by the driver and fetched by each executor; it is made once for a context.
+    """
     sc = spark.sparkContext
-    if sc.master.startswith("local[") or sc.master == "local":
-        return
     if any(f.endswith("gridloom.zip") for f in sc._python_includes):
         return
     folder = tempfile.mkdtemp(prefix="gridloom-zip-")
     stage = os.path.join(folder, "stage")
     shutil.copytree(_PACKAGE, os.path.join(stage, "gridloom"), ignore=shutil.ignore_patterns("__pycache__"))
     archive = shutil.make_archive(os.path.join(folder, "gridloom"), "zip", stage)
-    sc.addPyFile(archive)  # served by the driver, unpacked by every executor
+    sc.addPyFile(archive)
     shutil.rmtree(stage)
 
 

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gridloom.session import ship_package
+
 
 def read_table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
     """Read a table, projecting early so that the scan's ReadSchema is minimal."""
+    ship_package(spark)
     df = spark.read.parquet(f"{folder}/{name}.parquet")
     return df.select(*columns) if columns else df
 
