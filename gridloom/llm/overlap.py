@@ -32,8 +32,8 @@ from gridloom.session import cut_lineage, ship_package
 
 SEED, WINDOW, GRAM = 8, 6, 5
 #: Share of the fingerprints of the text with more of them that near copies have in common at least. Pairs at the
-#: limit of two thirds of the runs of five characters keep about three fifths of the fingerprints.
-NEAR = 0.35
+#: limit of two thirds of the runs of five characters keep a third of the fingerprints even if edits lie evenly.
+NEAR = 0.25
 SHARE = 2 / 3
 
 
