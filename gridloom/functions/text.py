@@ -233,3 +233,20 @@ def structure_score(left: list[Column], right: list[Column]) -> Column:
         F.when((a == 0) & (b == 0), 100.0).otherwise(F.greatest(F.lit(0.0), 100 * (1 - F.abs(a - b) / F.greatest(a, b, F.lit(1))))) for a, b in zip(left, right)
     ]
     return sum(parts[1:], parts[0]) / len(parts)
+
+
+def contains_run(values: Column, run: Column) -> Column:
+    """Whether an array holds another as a contiguous part; the empty one is in every array."""
+    n, k = F.size(values), F.size(run)
+    starts = F.sequence(F.lit(1), F.greatest(n - k + 1, F.lit(1)))
+    return (k == 0) | ((k <= n) & F.exists(starts, lambda i: F.slice(values, i, F.greatest(k, F.lit(1))) == run))
+
+
+def error_kind(message: Column) -> Column:
+    """``truncated``, ``timeout`` or ``other``; a timeout counts as truncated for repeating, but is not worth a finer tile."""
+    low = F.lower(message)
+    return (
+        F.when(low.rlike("timed? ?out|timeout"), F.lit("timeout"))
+        .when(low.rlike("truncat|unclosed|max.?tokens|incomplete"), F.lit("truncated"))
+        .when(message.isNotNull(), F.lit("other"))
+    )

@@ -109,3 +109,25 @@ def route(width: Column, height: Column, aspect: float = 0.12) -> Column:
 def to_page(value: Column, tile0: Column, tile1: Column, size: Column) -> Column:
     """A coordinate of a scaled tile on the page."""
     return tile0 + value * (tile1 - tile0) / size
+
+
+def content_grid(pages: DataFrame, key: str, rows: int, cols: int, overlap: int) -> DataFrame:
+    """Tiles of equal parts of the content box ``bx0, bx1, by0, by1``, widened by the overlap but kept within the box."""
+    xs, ys = even_edges(F.col("bx0"), F.col("bx1"), F.lit(cols)), even_edges(F.col("by0"), F.col("by1"), F.lit(rows))
+    real = pages.where("bx1 > bx0 and by1 > by0").select(key, "bx0", "bx1", "by0", "by1", xs.alias("xs"), ys.alias("ys"))
+    cells = real.withColumn("row", F.explode(F.sequence(F.lit(1), F.lit(rows)))).withColumn("col", F.explode(F.sequence(F.lit(1), F.lit(cols))))
+    at = lambda edges, i: F.element_at(edges, i.cast("int"))
+    return cells.select(
+        key,
+        "row",
+        "col",
+        F.greatest(F.col("bx0"), at("xs", F.col("col")) - F.when(F.col("col") > 1, overlap).otherwise(0)).alias("x0"),
+        F.least(F.col("bx1"), at("xs", F.col("col") + 1) + F.when(F.col("col") < cols, overlap).otherwise(0)).alias("x1"),
+        F.greatest(F.col("by0"), at("ys", F.col("row")) - F.when(F.col("row") > 1, overlap).otherwise(0)).alias("y0"),
+        F.least(F.col("by1"), at("ys", F.col("row") + 1) + F.when(F.col("row") < rows, overlap).otherwise(0)).alias("y1"),
+    )
+
+
+def refine_first(width: Column, height: Column, target_w: int, target_h: int, depth: Column) -> Column:
+    """A whole tile twice as large as wanted on either axis is cut before it is read."""
+    return F.coalesce((depth == 0) & ((width > 2 * target_w) | (height > 2 * target_h)), F.lit(False))

@@ -230,6 +230,36 @@ def semantic_matrix(boxes: list[Box]) -> Grid | None:
     return Grid(header, grid)
 
 
+def anchored_matrix(boxes: list[Box]) -> Grid | None:
+    """The matrix by centres, right or left edges of the boxes, whichever fills most; the earlier on a tie."""
+    shifted = lambda f: [replace(b, x=f(b)) for b in boxes]
+    found = [g for g in (semantic_matrix(boxes), semantic_matrix(shifted(lambda b: b.right)), semantic_matrix(shifted(lambda b: b.left))) if g]
+    return max(found, key=lambda g: sum(bool(c) for r in g.rows for c in r), default=None)
+
+
+def stacked_labels(boxes: list[Box], words: str = r"年|龄|age|year") -> list[Box]:
+    """Corner labels that stand in two boxes, one above or beside the other, as one box each."""
+    parts = sorted((b for b in boxes if b.text.strip() and number(b.text) is None), key=lambda b: (b.y, b.x, b.text))
+    out = []
+    for i, a in enumerate(parts):
+        if re.search(words, a.text, re.I):
+            out.append(a)
+        for b in parts[i + 1 :]:
+            if b.y - a.y > 2.2 * max(a.height, b.height):
+                break
+            below = abs(a.x - b.x) <= 0.6 * max(a.width, b.width) and b.y - a.y > 0.5 * a.height
+            beside = abs(a.y - b.y) <= 0.5 * a.height and 0 <= b.left - a.right <= a.height
+            if (below or beside) and re.search(words, a.text + b.text, re.I) and not re.search(words, a.text, re.I):
+                left, right = min(a.left, b.left), max(a.right, b.right)
+                out.append(replace(a, text=a.text.strip() + b.text.strip(), x=(left + right) / 2, width=right - left, y=(a.y + b.y) / 2))
+    return out
+
+
+def saturated(boxes: int, limit: int = 1_000) -> bool:
+    """A tile on which a recogniser found as many boxes as it can give should be cut and read again."""
+    return boxes >= limit
+
+
 def _header_band(numeric: list[Box], rows: list[tuple[float, int]], tall: float) -> tuple[float, list[Box]] | None:
     """The band with the longest run of consecutive whole numbers from left to right, the higher on a tie."""
     best = None
@@ -488,7 +518,7 @@ def matrix(boxes: list[Box]) -> Grid | None:
     """The first reading that holds: annual, triangular, fixed, sequential, then by headings; fewer than 20 boxes are none."""
     if len(boxes) < 20:
         return None
-    for read in (annual_matrix, triangular_grid, fixed_grid, sequential_records, semantic_matrix):
+    for read in (annual_matrix, triangular_grid, fixed_grid, sequential_records, anchored_matrix):
         grid = read(boxes)
         if grid is not None and not impossible_axis(grid):
             return collapse_seam_column(grid)

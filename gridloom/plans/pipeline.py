@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions.tables import pipes_from_html, within_budget
-from gridloom.functions.text import candidate_issue, duplicate_line_ratio, html_shape, let, looks_truncated, strip, table_markup
+from gridloom.functions.text import candidate_issue, duplicate_line_ratio, html_shape, let, looks_truncated, strip, table_markup, unstructured_table
 from gridloom.operators.combine import expand_template
 from gridloom.operators.geometry import route
 from gridloom.operators.merge import merge_lines, rebuild_pages
@@ -150,3 +150,29 @@ def better_repair(previous, repair, gain: int = 300, max_duplicate: float = 0.30
 
     old, new = F.coalesce(previous, F.lit("")), F.coalesce(repair, F.lit(""))
     return let(F.struct(old.alias("old"), new.alias("new"), table_score(old).alias("a"), table_score(new).alias("b")), decide)
+
+
+def wants_repair(text, content_pixels, min_chars: int = 600, density: float = 0.0):
+    """A page whose text is short for what is on it, or that reads like a table without structure."""
+    least = F.greatest(F.lit(min_chars), F.ceil(F.coalesce(content_pixels, F.lit(0)) * density))
+    plain = F.coalesce(text, F.lit(""))
+    return (F.length(strip(plain)) < least) | (unstructured_table(plain) & ~table_markup(plain))
+
+
+def wants_local_matrix(text, width, height, content_pixels, s: Settings, gap=None, huge: int = 100_000_000, huge_gap: int = 8):
+    """Whether boxes of a local recogniser are read: page area within the band, huge pages only with a gap in their numbers, and little text."""
+    area, n = width * height, F.length(strip(F.coalesce(text, F.lit(""))))
+    band = area >= s.local_min_pixels
+    if s.local_max_pixels:
+        band = band & (area <= s.local_max_pixels)
+    if gap is not None:
+        band = band & ((area < huge) | (F.coalesce(gap, F.lit(0)) >= huge_gap))
+    thin = n <= s.trigger_chars
+    if s.trigger_density:
+        thin = thin | (n / F.greatest(content_pixels, F.lit(1)) <= s.trigger_density)
+    return F.coalesce(band & thin & F.lit(s.local_ocr), F.lit(False))
+
+
+def needed_tiles(n, least: int = 4, share: float = 0.75):
+    """Tiles that must be read: all where there are few, else the larger of a floor and a share."""
+    return F.when(n <= least, n).otherwise(F.greatest(F.lit(least), F.ceil(n * share)))

@@ -65,3 +65,38 @@ def test_merging_of_tables_and_blocks():
     base = "| A |\n| --- |\n| 1 |\n| 2 |\n"
     assert M.remerge(base, [(1, 1, "| A |\n| --- |\n| 1 |"), (2, 1, "| A |\n| --- |\n| 2 |")]) == base
     assert M.remerge(base, [(1, 1, "| A |\n| --- |\n| 1 |")]) is None
+
+
+def test_labels_and_anchors():
+    seen = [box(100, 100, "年"), box(104, 116, "龄"), box(400, 100, "其他")]
+    assert [b.text for b in L.stacked_labels(seen)] == ["年", "龄"] and [b.text for b in L.stacked_labels([box(100, 100, "保单"), box(102, 116, "年度")])] == ["保单年度", "年度"]
+    right = [box(100, 60, "age")] + [box(200 + 100 * c, 60, 10 + c) for c in range(6)]
+    for r in range(8):
+        right += [box(100, 120 + 30 * r, 20 + r)] + [L.Box(215 + 100 * c - w / 2, 120.0 + 30 * r, w, 10.0, 1.0, f"{r}{c}.5") for c in range(6) for w in [20.0 + 30.0 * ((r + c) % 2)]]
+    assert L.anchored_matrix(right) is not None and L.anchored_matrix([]) is None
+    assert L.saturated(1_000) and not L.saturated(3)
+
+
+def test_cells_rows_and_routing(spark):
+    from pyspark.sql import functions as F
+
+    from gridloom.functions import tables as B
+    from gridloom.functions import text as T
+    from gridloom.operators import geometry as G
+    from gridloom.plans import pipeline as P
+    from gridloom.plans.presets import settings
+
+    assert [B.merge_seam(*p) for p in (("", "x"), ("441", ".02"), ("12", "34"), ("long one", "b"))] == ["x", "441.02", "1234", "long one"]
+    assert B.trimmed(Grid(("k", "v"), (("1", "a"), ("2", "b"), ("", ""), ))).rows == (("1", "a"), ("2", "b"))
+    df = spark.createDataFrame([([1, 2, 3, 4], [2, 3]), ([1, 2], [2, 1]), ([1], []), ([1], [1, 2])], "a array<int>, b array<int>")
+    assert [r["r"] for r in df.select(T.contains_run(F.col("a"), F.col("b")).alias("r")).collect()] == [True, False, True, False]
+    e = spark.createDataFrame([("Read timed out",), ("output truncated",), ("HTTP 500",), (None,)], "m string").select(T.error_kind(F.col("m")).alias("k"))
+    assert [r["k"] for r in e.collect()] == ["timeout", "truncated", "other", None]
+    pages = spark.createDataFrame([("p", 10, 110, 0, 50), ("q", 5, 5, 0, 9)], "f string, bx0 int, bx1 int, by0 int, by1 int")
+    tiles = G.content_grid(pages, "f", 1, 2, 5).orderBy("col").collect()
+    assert [(t["x0"], t["x1"], t["y0"], t["y1"]) for t in tiles] == [(10, 65, 0, 50), (55, 110, 0, 50)]
+    s = settings("v4")
+    rows = spark.createDataFrame([("short", 4_000, 4_000, 100), ("x" * 5_000, 4_000, 4_000, 100), ("short", 10, 10, 100), (None, 4_000, 4_000, None)], "t string, w int, h int, c int")
+    got = rows.select(P.wants_local_matrix(F.col("t"), F.col("w"), F.col("h"), F.col("c"), s).alias("m"), P.wants_repair(F.col("t"), F.col("c")).alias("r"), P.needed_tiles(F.col("w")).alias("n")).collect()
+    assert [r["m"] for r in got] == [True, False, False, True] and [r["r"] for r in got] == [True, False, True, True] and got[2]["n"] == 8
+    assert rows.select(G.refine_first(F.col("w"), F.col("h"), 800, 650, F.lit(0)).alias("x")).first()["x"] is True
