@@ -552,3 +552,18 @@ def reading_order(boxes: DataFrame, key: str) -> DataFrame:
 def matrices(boxes: DataFrame, key: str) -> DataFrame:
     """``(key, text)``: the matrix of each group as pipes, null where there is none."""
     return _map_boxes(boxes, key, "string", lambda bs: (g := matrix(bs)) and to_pipe(g))
+
+
+def key_paths(rows: DataFrame, key: str, order: str, value: str) -> DataFrame:
+    """``(key, path, inliers)``: the climbing row keys that fit the values of each key best, in order. Distinct values only; a page bounds them."""
+    ship_package(rows.sparkSession)
+    points = rows.where(F.col(key).isNotNull() & F.col(order).isNotNull()).select(key, order, value).distinct()
+    listed = points.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(order, value))).alias("points"))
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [monotonic_keys([p[value] for p in ps]) for ps in batch.column(1).to_pylist()]
+            paths, inliers = pa.array([f[0] for f in found], pa.list_(pa.int32())), pa.array([f[1] for f in found], pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0), paths, inliers], names=[key, "path", "inliers"])
+
+    return listed.mapInArrow(fit, f"`{key}` {rows.schema[key].dataType.simpleString()}, path array<int>, inliers int")

@@ -350,6 +350,22 @@ def rebuild_pages(tiles: DataFrame, key: str, row: str = "row", col: str = "col"
     return listed.mapInArrow(build, f"`{key}` {kind}, text string")
 
 
+def fill_tables(pairs: DataFrame, key: str, previous: str, local: str) -> DataFrame:
+    """``(key, text)``: previous tables with cells filled from local ones by row number, null where the rows do not belong together."""
+    ship_package(pairs.sparkSession)
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for a, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                old, new = parse_pipe(a or ""), parse_pipe(b or "")
+                grid = coalesce_by_sequence(old, new) if old and new else None
+                out.append(grid and to_pipe(grid))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=[key, "text"])
+
+    return pairs.select(key, previous, local).mapInArrow(fill, f"`{key}` {pairs.schema[key].dataType.simpleString()}, text string")
+
+
 def to_two_row_header(grid: Grid, leaves_from: int, label: str) -> str:
     """HTML of a table whose columns from ``leaves_from`` on stand under one label."""
     if not 0 < leaves_from < len(grid.header):

@@ -38,9 +38,14 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "documents", "doc_id", "text")
 
 
-def _cells(spark: SparkSession, folder: str) -> DataFrame:
+def _arrived_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """Cells as they arrived, keys repeated; for queries that reduce texts first and drop repeated keys on narrow rows."""
     rows = read_table(spark, folder, "submission_cells", "row_id", "run_id", "ord", "file_name", "ground_truth")
-    return one_per_key(rows, "row_id").withColumn("file_name", T.strip("file_name")).withColumnRenamed("ground_truth", "text")
+    return rows.withColumn("file_name", T.strip("file_name")).withColumnRenamed("ground_truth", "text")
+
+
+def _cells(spark: SparkSession, folder: str) -> DataFrame:
+    return one_per_key(_arrived_cells(spark, folder), "row_id")
 
 
 def _records(spark: SparkSession, folder: str) -> DataFrame:
@@ -169,7 +174,7 @@ def _normalized(x: str) -> str:
 @_query(f"SELECT row_id, md5({_normalized('text')}) AS digest, length({_normalized('text')}) AS n_chars FROM {_CELLS}")
 def normalize_text(spark: SparkSession, folder: str) -> DataFrame:
     plain = T.normalize_text("text")
-    return _cells(spark, folder).select("row_id", F.md5(plain).alias("digest"), F.length(plain).cast("bigint").alias("n_chars"))
+    return one_per_key(_arrived_cells(spark, folder).select("row_id", F.md5(plain).alias("digest"), F.length(plain).cast("bigint").alias("n_chars")), "row_id")
 
 
 _TRUNCATED = (
@@ -190,13 +195,13 @@ _MARKUP = f"(regexp_matches(x, '(?i)<table') OR len(list_filter(string_split_reg
     FROM (SELECT row_id, coalesce(text, '') AS x FROM {_CELLS})"""
 )
 def candidate_gates(spark: SparkSession, folder: str) -> DataFrame:
-    return _cells(spark, folder).select("row_id", T.candidate_issue("text", max_blocks=2, max_duplicate=0.3).alias("issue"))
+    return one_per_key(_arrived_cells(spark, folder).select("row_id", T.candidate_issue("text", max_blocks=2, max_duplicate=0.3).alias("issue")), "row_id")
 
 
 @_query(f"SELECT row_id, {_FINE('text')} AS fine FROM {_CELLS}")
 def html_stack_check(spark: SparkSession, folder: str) -> DataFrame:
     issue = T.html_issue("text")
-    return _cells(spark, folder).select("row_id", F.when(F.col("text").isNotNull(), issue.isNull()).alias("fine"))
+    return one_per_key(_arrived_cells(spark, folder).select("row_id", F.when(F.col("text").isNotNull(), issue.isNull()).alias("fine")), "row_id")
 
 
 @_query(f"SELECT doc_id, {_UNSTRUCTURED} AS looks_tabular, {_TRUNCATED} AS truncated FROM (SELECT doc_id, coalesce(text, '') AS x FROM documents)")
@@ -297,7 +302,7 @@ def cache_anti_join(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query(f"SELECT row_id, ratio FROM (SELECT row_id, round({_dup('text')}, 6) AS ratio FROM {_CELLS}) ORDER BY ratio DESC, row_id LIMIT 25")
 def worst_k(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _cells(spark, folder).select("row_id", F.round(T.duplicate_line_ratio("text"), 6).alias("ratio"))
+    rows = one_per_key(_arrived_cells(spark, folder).select("row_id", F.round(T.duplicate_line_ratio("text"), 6).alias("ratio")), "row_id")
     return rows.orderBy(F.desc("ratio"), "row_id").limit(25)
 
 
@@ -322,7 +327,7 @@ def set_ops_names(spark: SparkSession, folder: str) -> DataFrame:
 @_query(f"SELECT row_id, len({_solid('text')}) AS n_lines, md5(array_to_string({_solid('text')}, chr(10))) AS digest FROM {_CELLS}")
 def read_order_lines(spark: SparkSession, folder: str) -> DataFrame:
     solid = T.solid_lines("text")
-    return _cells(spark, folder).select("row_id", F.when(F.col("text").isNotNull(), F.size(solid)).cast("bigint").alias("n_lines"), F.md5(F.array_join(solid, "\n")).alias("digest"))
+    return one_per_key(_arrived_cells(spark, folder).select("row_id", F.when(F.col("text").isNotNull(), F.size(solid)).cast("bigint").alias("n_lines"), F.md5(F.array_join(solid, "\n")).alias("digest")), "row_id")
 
 
 @_query(
@@ -610,8 +615,8 @@ def html_to_pipe(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query()
 def implied_closures(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _cells(spark, folder).withColumn("closed", tables.implied_closed("text"))
-    return rows.select("row_id", T.html_issue("text").alias("before"), T.html_issue("closed").alias("after"))
+    rows = _arrived_cells(spark, folder).withColumn("closed", tables.implied_closed("text"))
+    return one_per_key(rows.select("row_id", T.html_issue("text").alias("before"), T.html_issue("closed").alias("after")), "row_id")
 
 
 @_query()
@@ -688,6 +693,23 @@ def grouped_split(spark: SparkSession, folder: str) -> DataFrame:
     return experiment.grouped_split(one, {"dev": 0.2, "validation": 0.2, "test": 0.6}).select("run_id", "file_name", "split")
 
 
+@_query()
+def age_path(spark: SparkSession, folder: str) -> DataFrame:
+    """Row keys of each slice: whole numbers read from top to bottom, laid along a climbing path."""
+    seen = read_table(spark, folder, "observations", "slice_id", "y", "text").where(F.col("text").rlike("^[0-9]{1,2}$"))
+    return lattice.key_paths(seen.select("slice_id", "y", F.col("text").cast("int").alias("k")), "slice_id", "y", "k")
+
+
+@_query()
+def sequence_cell_merge(spark: SparkSession, folder: str) -> DataFrame:
+    """Numbered pipe tables with their last column emptied and filled again from the whole ones."""
+    rows = _pipe_tables(spark, folder)
+    whole = T.format_pipe_table(F.col("t.header"), F.col("t.rows"))
+    emptied = F.transform("t.rows", lambda r: F.concat(F.slice(r, 1, F.size(r) - 1), F.array(F.lit(""))))
+    pairs = rows.select(F.concat_ws("/", "record_id", "place").alias("page"), T.format_pipe_table(F.col("t.header"), emptied).alias("previous"), whole.alias("local"))
+    return merge.fill_tables(pairs, "page", "previous", "local").join(pairs.select("page", "local"), "page").select("page", F.coalesce(F.col("text") == F.col("local"), F.lit(False)).alias("same"))
+
+
 @_query()
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return rejects(read_table(spark, folder, "submission_raw", "raw_id", "raw_row"))

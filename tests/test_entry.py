@@ -38,11 +38,11 @@ def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", ["html_tables", "evaluate_pairs", "reading_order", "tile_rebuild", "grouped_split", "implied_closures"])
+@pytest.mark.parametrize("name", ["html_tables", "evaluate_pairs", "reading_order", "tile_rebuild", "grouped_split", "implied_closures", "age_path", "sequence_cell_merge", "lattice_matrices", "html_to_pipe", "table_statistics", "family_groups", "candidate_scores"])
 def test_without_sql(spark, name):
     rows = entry.queries()[name](spark, FOLDER).collect()
     assert rows
-    if name == "tile_rebuild":
+    if name in ("tile_rebuild", "sequence_cell_merge"):
         assert all(r["same"] for r in rows)
 
 
