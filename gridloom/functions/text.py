@@ -40,7 +40,7 @@ def collapse(c: Column | str) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    return F.regexp_replace(_col(c), f"^[{SPACES}]+|[{SPACES}]+\\z", "")
+    return F.regexp_replace(_col(c), f"^[{SPACES}]+|(?<![{SPACES}])[{SPACES}]+\\z", "")
 
 
 def lines(c: Column | str) -> Column:
