@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -213,7 +213,7 @@ def _latin(text: str) -> list[str]:
 _INDEX: dict[str, list[ItemIndex]] = {}
 
 
-def _blocks(rows: list) -> Iterator[list]:
+def _blocks(rows: Iterable) -> Iterator[list]:
     block, chars = [], 0
     for row in rows:
         if block and (len(block) >= ITEM_BLOCK or chars + len(row[2] or "") > ITEM_CHARS):
@@ -234,7 +234,7 @@ def leaked_items(documents: DataFrame, items: DataFrame) -> DataFrame:
     ship_package(spark)
     found = []
     query = items.select("item_id", F.lower(F.trim("lang")), "text").where("item_id is not null and text is not null")
-    for block in _blocks(sorted(map(tuple, query.toLocalIterator()))):
+    for block in _blocks(map(tuple, query.orderBy("item_id", "text").toLocalIterator())):
         held = spark.sparkContext.broadcast([(i, "en" if (lang or "").startswith("en") else "zh", t) for i, lang, t in block])
         found.append(documents.select("doc_id", "text").where("text is not null").mapInArrow(_searcher(held), "doc_id bigint, item_id bigint"))
     if not found:

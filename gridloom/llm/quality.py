@@ -37,7 +37,7 @@ _NUMBER = re.compile(
     r"^\s*(?:[0-9]{1,3}(?:\.[0-9]{1,3})+\.?\s|[0-9]{1,3}[.)）、．](?![0-9])|[(（](?:[0-9]{1,3}|[a-zA-Z]|[一二三四五六七八九十]{1,3})[)）]"
     r"|[a-zA-Z][.)）]\s|[一二三四五六七八九十]{1,3}[、.．)）]|[①-⑳])\s*"
 )
-_LEADER = re.compile(r"(?:\.{4,}|…{2,}|·{4,})\s*[0-9ivx]+\s*$")
+_LEADER = re.compile(r"(?:(?<!\.)\.{4,}+|(?<!…)…{2,}+|(?<!·)·{4,}+)\s*+[0-9ivx]+\s*+$")
 _GAPS = re.compile(r"\S(?: {2,}|\t)(?=\S)")
 _CELL = re.compile(r"</t[dh]>|\|\||&(?= )")
 _TAGS = re.compile(r"<[^<>]*>")

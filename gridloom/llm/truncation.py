@@ -32,7 +32,7 @@ LENGTHS, CLOSERS, LEAST = 64, 256, 5
 
 _END = "。！？!?.…；;：:"
 _CLOSED = re.compile(r"[。！？.!?][\s\"'”’」』）)*`_]*(?:\{\{[^{}]*\}\}|\\footnote\{[^{}]*\}|<!--[^<>]*-->|</[a-z0-9]+>|[\s*`_）)\]])*$")
-_MARK = re.compile(r"(?:\s*(?:\[[^\[\]\n]{1,24}\]|[（(<【][^（）()<>【】\n]{1,12}[)）>】]|\.{3,}|…+|~+|—{1,2}|-{2,3}|\ufffd+))+\s*$")
+_MARK = re.compile(r"(?:\s*+(?:\[[^\[\]\n]{1,24}\]|[（(<【][^（）()<>【】\n]{1,12}[)）>】]|\.{3,}+|…++|~++|—++|-{2,}+|\ufffd++))++\s*+$")
 _TOKEN = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)(?:\s[^<>]*)?(/?)>")
 _VOID = frozenset(("br", "hr", "img", "input", "meta", "link", "col"))
 _BLOCK_END = re.compile(r"(?:</(?:ul|ol|pre|div|blockquote)>|\\end\{[a-z]+\})$")
@@ -84,7 +84,8 @@ def features(text: str, lengths: frozenset[int], closers: frozenset[str]) -> lis
     body = text.rstrip()
     out = [f"bytes:{len(text.encode('utf-8', 'replace')) in lengths}", f"chars:{len(text) in lengths}", f"trail:{len(text) > len(body)}"]
     out.append("over" if "\ufffd" in body[-2:] else "whole")
-    mark = _MARK.search(body)
+    near = max(0, len(body) - 80)
+    mark = _MARK.search(body, near)
     lines = body.rsplit("\n", 1)
     closed_by = ""
     for _ in range(2):
