@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from gridloom.functions.text import duplicate_line_ratio, html_issue, strip
 
@@ -15,9 +14,10 @@ def _length(c: Column) -> Column:
 
 def last_per_name(rows: DataFrame, name: str = "file_name", order: tuple[str, ...] = ("ord",)) -> DataFrame:
     """Of rows with the same name the last in order wins; null and empty names are dropped."""
-    best = Window.partitionBy(name).orderBy(*[F.col(o).desc_nulls_last() for o in order])
     named = rows.where(F.col(name).isNotNull() & (strip(F.col(name)) != ""))
-    return named.withColumn("_rank", F.row_number().over(best)).where("_rank = 1").drop("_rank")
+    others = [c for c in rows.columns if c != name]
+    best = F.max_by(F.struct(*others), F.struct(*order))  # combined before the shuffle; nulls come lowest
+    return named.groupBy(name).agg(best.alias("_row")).select(name, "_row.*").select(*rows.columns)
 
 
 def guarded_overlay(
