@@ -75,7 +75,7 @@ def test_repetition(spark, cells):
 
 MARKUP = {
     "# head\ntext": ["markdown"], "a **b** c": ["markdown"], "see `x` now": ["markdown"], "- item\n- item": ["markdown"], "1. one": ["markdown"], "[a b](#s1) x": ["markdown"], "> said": ["markdown"],
-    "| a | b |\n| --- | --- |": ["markdown"], "Title\n=====": ["markdown"], "```\nx": ["markdown"], "cut **here": ["markdown"],
+    "| a | b |\n| --- | --- |": ["markdown"], "Title\n=====": ["markdown"], "```\nx": ["markdown"], "cut **here": ["markdown"], "x\n\n| 年": ["markdown"], "x\n\n##": ["markdown"], "cut `he": ["markdown"], "cut '''he": ["wiki"], "cut [[he": ["wiki"], "cut \\text": ["latex"], "cut $v^{7": ["latex"],
     "<p>x</p>": ["html"], "a&nbsp;b": ["html"], "x <!-- note -->": ["html"], "<table border=\"1\"><tr><td": ["html"], "line<br>line": ["html"],
     "== Head ==": ["wiki"], "[[a|b]]": ["wiki"], "{{n|x}}": ["wiki"], "'''b'''": ["wiki"], "{| class=\"w\"\n! a !! b\n|-\n| 1 || 2\n|}": ["wiki"],
     "\\section{x}": ["latex"], "\\begin{itemize}\n\\item x": ["latex"], "so $a_{1} = b$ holds": ["latex"], "\\[ \\frac{a}{b} \\]": ["latex"], "x~\\ref{s1}": ["latex"],
