@@ -104,7 +104,7 @@ def compare(a: str, b: str) -> tuple[float, float, float]:
 
 
 def _fingerprinted(records: DataFrame) -> DataFrame:
-    """``(file_name, source, cls, core, marks)`` of every record with a core, each file once."""
+    """``(file_name, source, cls, c, core, marks)`` of every record with a core, each file once; ``c`` is a short form of ``cls``."""
 
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,14 +117,15 @@ def _fingerprinted(records: DataFrame) -> DataFrame:
                     batch.column(0).take(rows),
                     batch.column(1).take(rows),
                     pa.array([xxhash.xxh3_128_hexdigest(c.encode("utf-8", "replace")) for c in kept], pa.string()),
+                    pa.array([xxhash.xxh3_64_intdigest(c.encode("utf-8", "replace")) - (1 << 63) for c in kept], pa.int64()),
                     pa.array(kept, pa.string()),
                     pa.array([winnow(c)[0] for c in kept], pa.list_(pa.int64())),
                 ],
-                names=["file_name", "source", "cls", "core", "marks"],
+                names=["file_name", "source", "cls", "c", "core", "marks"],
             )
 
     rows = records.select("file_name", "source", "read_text").where("file_name is not null and read_text is not null")
-    return rows.mapInArrow(prepare, "file_name string, source string, cls string, core string, marks array<bigint>").dropDuplicates(["file_name"])
+    return rows.mapInArrow(prepare, "file_name string, source string, cls string, c bigint, core string, marks array<bigint>").dropDuplicates(["file_name"])
 
 
 def listed(splits: DataFrame) -> DataFrame:
@@ -137,27 +138,28 @@ def _overlaps(splits: DataFrame, records: DataFrame) -> tuple[DataFrame, DataFra
     """Members of classes by run and split, and near class pairs ``(run_id, a, b, share, cover_a, cover_b)``, a in train."""
     ship_package(records.sparkSession)
     texts = cut_lineage(_fingerprinted(records))
-    members = listed(splits).join(texts.select("file_name", "source", "cls"), "file_name")
-    classes = members.groupBy("run_id", "cls").agg(F.bool_or(F.col("name") == "train").alias("left"), F.bool_or(F.col("name") != "train").alias("right"))
-    bodies = texts.select("cls", "core", "marks").dropDuplicates(["cls"])
-    marks = cut_lineage(
-        classes.join(bodies.select("cls", "marks"), "cls").select("run_id", "cls", "left", "right", F.size("marks").alias("n"), F.explode("marks").alias("mark"))
-    )
-    # How many classes of each side of the run have a mark; a mark of one side only joins nothing but still counts as rarest.
-    spread = marks.groupBy("run_id", "mark").agg(F.count("*").alias("df"), F.bool_or("left").alias("any_left"), F.bool_or("right").alias("any_right"))
-    order = Window.partitionBy("run_id", "cls").orderBy("df", "mark")
-    ranked = marks.join(spread, ["run_id", "mark"]).withColumn("rank", F.row_number().over(order))
+    members = listed(splits).join(texts.select("file_name", "source", "cls", "c"), "file_name")
+    classes = members.groupBy("run_id", "cls", "c").agg(F.bool_or(F.col("name") == "train").alias("left"), F.bool_or(F.col("name") != "train").alias("right"))
+    bodies = texts.select("cls", "c", "core", "marks").dropDuplicates(["cls"])
+    # One narrow row of numbers for each mark of a class in a run: ``k`` is run and mark, ``at`` run and class. Candidates
+    # found through equal hashes of different values fall away below, where classes and texts are compared themselves.
+    held = classes.join(bodies.select("cls", "marks"), "cls")
+    marks = held.select("c", F.xxhash64("run_id", "cls").alias("at"), "run_id", "left", "right", F.size("marks").alias("n"), F.explode("marks").alias("mark"))
+    marks = marks.select("c", "at", F.xxhash64("run_id", "mark").alias("k"), "left", "right", "n")
+    spread = marks.groupBy("k").agg(F.count("*").cast("int").alias("df"), F.bool_or("left").alias("any_left"), F.bool_or("right").alias("any_right"))
+    order = Window.partitionBy("at").orderBy("df", "k")
+    ranked = marks.join(spread, "k").withColumn("rank", F.row_number().over(order))
     rare = ranked.where((F.col("rank") <= F.floor(F.col("n") * (1 - NEAR)) + 1) & F.col("any_left") & F.col("any_right"))
-    a = rare.where("left").select("run_id", "mark", F.col("cls").alias("a"), F.col("n").alias("n_a"))
-    b = rare.where("right").select("run_id", "mark", F.col("cls").alias("b"), F.col("n").alias("n_b"))
-    near_size = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * NEAR
-    pairs = a.join(b, ["run_id", "mark"]).where((F.col("a") != F.col("b")) & near_size).select("a", "b", "run_id").distinct()
-    # The texts of a pair of classes are compared once, whatever the runs that have it.
-    unique = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    held_a = bodies.select(F.col("cls").alias("a"), F.col("marks").alias("marks_a"))
-    held_b = bodies.select(F.col("cls").alias("b"), F.col("marks").alias("marks_b"))
+    rare = cut_lineage(rare.select("k", "c", "n", "left", "right"))
+    a = rare.where("left").select("k", F.col("c").alias("x"), F.col("n").alias("n_x"))
+    b = rare.where("right").select("k", F.col("c").alias("y"), F.col("n").alias("n_y"))
+    near_size = F.least("n_x", "n_y") >= F.greatest("n_x", "n_y") * NEAR
+    # The texts of a pair of classes are compared once, whatever the runs and sides that have it.
+    short = a.join(b, "k").where((F.col("x") != F.col("y")) & near_size).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    held_a = bodies.select(F.col("c").alias("x"), F.col("cls").alias("a"), F.col("marks").alias("marks_a"))
+    held_b = bodies.select(F.col("c").alias("y"), F.col("cls").alias("b"), F.col("marks").alias("marks_b"))
     common = F.size(F.array_intersect("marks_a", "marks_b"))
-    alike = unique.join(held_a, "a").join(held_b, "b").where(common >= F.greatest(F.size("marks_a"), F.size("marks_b")) * NEAR).select("a", "b")
+    alike = short.join(held_a, "x").join(held_b, "y").where(common >= F.greatest(F.size("marks_a"), F.size("marks_b")) * NEAR).select("a", "b")
     with_text = alike.join(bodies.select(F.col("cls").alias("a"), F.col("core").alias("core_a")), "a").join(
         bodies.select(F.col("cls").alias("b"), F.col("core").alias("core_b")), "b"
     )
@@ -171,7 +173,10 @@ def _overlaps(splits: DataFrame, records: DataFrame) -> tuple[DataFrame, DataFra
     measured = with_text.select("a", "b", "core_a", "core_b").mapInArrow(measure, "a string, b string, share double, cover_a double, cover_b double")
     measured = measured.where(F.col("share") >= SHARE - 1e-12)
     both = measured.unionByName(measured.select(F.col("b").alias("a"), F.col("a").alias("b"), "share", F.col("cover_b").alias("cover_a"), F.col("cover_a").alias("cover_b")))
-    near = pairs.join(both, ["a", "b"]).select("run_id", "a", "b", "share", "cover_a", "cover_b")
+    # Alike classes count in every run that has one of them in train and the other beside it.
+    in_train = classes.where("left").select("run_id", F.col("cls").alias("a"))
+    beside = classes.where("right").select("run_id", F.col("cls").alias("b"))
+    near = both.join(in_train, "a").join(beside, ["run_id", "b"]).select("run_id", "a", "b", "share", "cover_a", "cover_b")
     one = F.lit(1.0)
     same = classes.where(F.col("left") & F.col("right")).select("run_id", F.col("cls").alias("a"), F.col("cls").alias("b"), one.alias("share"), one.alias("cover_a"), one.alias("cover_b"))
     return members, near.unionByName(same)
