@@ -147,9 +147,11 @@ def _overlaps(splits: DataFrame, records: DataFrame) -> tuple[DataFrame, DataFra
     marks = held.select("c", F.xxhash64("run_id", "cls").alias("at"), "run_id", "left", "right", F.size("marks").alias("n"), F.explode("marks").alias("mark"))
     marks = marks.select("c", "at", F.xxhash64("run_id", "mark").alias("k"), "left", "right", "n")
     spread = marks.groupBy("k").agg(F.count("*").cast("int").alias("df"), F.bool_or("left").alias("any_left"), F.bool_or("right").alias("any_right"))
-    order = Window.partitionBy("at").orderBy("df", "k")
-    ranked = marks.join(spread, "k").withColumn("rank", F.row_number().over(order))
-    rare = ranked.where((F.col("rank") <= F.floor(F.col("n") * (1 - NEAR)) + 1) & F.col("any_left") & F.col("any_right"))
+    # Marks of one side come first in the common order; they join nothing, so only their number matters to the rank of the others.
+    both_sided = spread.where("any_left and any_right").select("k", "df")
+    by_class = Window.partitionBy("at")
+    ranked = marks.join(both_sided, "k").withColumn("rank", F.row_number().over(by_class.orderBy("df", "k"))).withColumn("n_both", F.count("*").over(by_class))
+    rare = ranked.where(F.col("n") - F.col("n_both") + F.col("rank") <= F.floor(F.col("n") * (1 - NEAR)) + 1)
     rare = cut_lineage(rare.select("k", "c", "n", "left", "right"))
     a = rare.where("left").select("k", F.col("c").alias("x"), F.col("n").alias("n_x"))
     b = rare.where("right").select("k", F.col("c").alias("y"), F.col("n").alias("n_y"))
