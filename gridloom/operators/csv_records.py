@@ -3,8 +3,8 @@
 Records go through a columnar parser in blocks. A block is taken whole if the
 parse can be proved right: as many rows as records, and each record equal to
 one of the four ways to write its two fields again (either enclosed or not).
-A block that fails is bisected until single bad records are left; those are
-diagnosed character by character. The reason is the first that applies:
+A block that fails is bisected until a few records are left, which are
+diagnosed strictly, one by one. The reason is the first that applies:
 
 ``quoting``  a quote or a line break in a field that is not enclosed, no
              closing quote, or anything but a comma after it
@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame
 
 from gridloom.session import ship_package
 
-BLOCK = 512
+#: Records of a first block, and of a failing block that is no longer cut in two but diagnosed.
+BLOCK, LEAST = 512, 8
 #: The suffixes of page names.
 SUFFIXES = (".jpg", ".jpeg", ".png", ".webp", ".bmp")
 
@@ -140,7 +141,7 @@ def parse_block(records: pa.Array) -> list[tuple[str | None, str | None, str | N
     got = _bulk(records)
     if got is not None:
         return [(a, b, None) for a, b in zip(got[0].to_pylist(), got[1].to_pylist())]
-    if len(records) <= 1:
+    if len(records) <= LEAST:
         return [diagnose(r) for r in records.to_pylist()]
     half = len(records) // 2
     return parse_block(records[:half]) + parse_block(records[half:])
