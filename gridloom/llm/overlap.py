@@ -140,10 +140,9 @@ def _overlaps(splits: DataFrame, records: DataFrame) -> tuple[DataFrame, DataFra
     texts = cut_lineage(_fingerprinted(records))
     members = listed(splits).join(texts.select("file_name", "source", "cls", "c"), "file_name")
     classes = members.groupBy("run_id", "cls", "c").agg(F.bool_or(F.col("name") == "train").alias("left"), F.bool_or(F.col("name") != "train").alias("right"))
-    bodies = texts.select("cls", "c", "core", "marks").dropDuplicates(["cls"])
     # One narrow row of numbers for each mark of a class in a run: ``k`` is run and mark, ``at`` run and class. Candidates
     # found through equal hashes of different values fall away below, where classes and texts are compared themselves.
-    held = classes.join(bodies.select("cls", "marks"), "cls")
+    held = classes.join(texts.select("cls", "marks").dropDuplicates(["cls"]), "cls")
     marks = held.select("c", F.xxhash64("run_id", "cls").alias("at"), "run_id", "left", "right", F.size("marks").alias("n"), F.explode("marks").alias("mark"))
     marks = marks.select("c", "at", F.xxhash64("run_id", "mark").alias("k"), "left", "right", "n")
     spread = marks.groupBy("k").agg(F.count("*").cast("int").alias("df"), F.bool_or("left").alias("any_left"), F.bool_or("right").alias("any_right"))
@@ -157,7 +156,11 @@ def _overlaps(splits: DataFrame, records: DataFrame) -> tuple[DataFrame, DataFra
     b = rare.where("right").select("k", F.col("c").alias("y"), F.col("n").alias("n_y"))
     near_size = F.least("n_x", "n_y") >= F.greatest("n_x", "n_y") * NEAR
     # The texts of a pair of classes are compared once, whatever the runs and sides that have it.
-    short = a.join(b, "k").where((F.col("x") != F.col("y")) & near_size).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    met = a.join(b, "k").where((F.col("x") != F.col("y")) & near_size)
+    short = cut_lineage(met.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct())
+    # Only texts that are in some pair go on.
+    wanted = short.select(F.col("x").alias("c")).unionAll(short.select(F.col("y").alias("c"))).distinct()
+    bodies = cut_lineage(texts.select("cls", "c", "core", "marks").join(wanted, "c", "left_semi").dropDuplicates(["cls"]))
     held_a = bodies.select(F.col("c").alias("x"), F.col("cls").alias("a"), F.col("marks").alias("marks_a"))
     held_b = bodies.select(F.col("c").alias("y"), F.col("cls").alias("b"), F.col("marks").alias("marks_b"))
     common = F.size(F.array_intersect("marks_a", "marks_b"))
