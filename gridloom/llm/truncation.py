@@ -7,14 +7,16 @@ fences, brackets, emphasis, environments, rows with missing cells, series) and
 whether the length is one at which texts of the corpus pile up. All rows are
 then scored whole.
 
-Closing lines (dates, page and end marks) and lengths that pile up are counted
-over all rows. Null and blank texts are not cut.
+Closing lines (dates, page and end marks) are last lines that a fair share of
+all rows has and that no longer lines begin with; they and lengths that pile up
+are counted over all rows. Null and blank texts are not cut.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,8 +29,12 @@ from gridloom.session import cut_lineage, ship_package
 
 #: Rows the classifier is fitted on, cuts made of each intact row, width of the hashed features.
 SAMPLE, CUTS, BITS = 6_000, 3, 16
-#: Lengths and closing lines kept (the most frequent ones), and how often each must occur at least.
-LENGTHS, CLOSERS, LEAST = 64, 256, 5
+#: Lengths kept (the most frequent ones), how often a length or a closing line must occur at least, and the rows
+#: for which a closing line must occur once. The last is the same share of a table of any size.
+LENGTHS, LEAST, ROWS_A_CLOSER = 64, 5, 10_000
+#: A full date is a whole line even where other lines begin with one.
+_DATE = r"^9(年9月9日|([-/.])9\2 ?9)$"
+_ODD_CLOSER = r"[。；;，,|.:：、]$|^[-*·#=]|  |9 9|[&<>|\\]"
 
 _END = "。！？!?.…；;：:"
 _CLOSED = re.compile(r"[。！？.!?][\s\"'”’」』）)*`_]*(?:\{\{[^{}]*\}\}|\\footnote\{[^{}]*\}|<!--[^<>]*-->|</[a-z0-9]+>|[\s*`_）)\]])*$")
@@ -245,6 +251,38 @@ class Classifier:
         return self
 
 
+def closing_lines(held: DataFrame, closings: DataFrame, n_rows: int, text: str) -> frozenset[str]:
+    """Last lines that are whole lines of their own: no rarer than once in ``ROWS_A_CLOSER`` rows, and no beginnings.
+
+    A fragment that a cut left after a line break is the beginning of lines that
+    go on elsewhere, and more of them go on than break off there; a closing line
+    stands alone. Both tests are shares, so a larger table of the same kind has
+    the same closing lines. ``closings`` has ``closing`` of each row.
+    """
+    level = max(LEAST, -(-n_rows // ROWS_A_CLOSER))
+    counts = closings.where("closing <> ''").groupBy("closing").agg(F.count("*").alias("n")).where(F.col("n") >= level)
+    alone = {r[0]: r[1] for r in counts.where(~F.col("closing").rlike(_ODD_CLOSER)).toLocalIterator()}  # ROWS_A_CLOSER at most
+    if not alone:
+        return frozenset()
+    sizes = sorted({len(c) for c in alone})
+    wanted = held.sparkSession.sparkContext.broadcast(frozenset(alone))
+
+    def go_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n: Counter[str] = Counter()
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                for line in map(masked, t.split("\n")):
+                    for size in sizes:
+                        if size >= len(line):
+                            break
+                        if line[:size] in wanted.value:
+                            n[line[:size]] += 1
+        yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], names=["closing", "n"])
+
+    longer = {r[0]: r[1] for r in held.select(text).mapInArrow(go_on, "closing string, n bigint").groupBy("closing").agg(F.sum("n")).toLocalIterator()}
+    return frozenset(c for c, n in alone.items() if longer.get(c, 0) <= n or re.search(_DATE, c))
+
+
 def fitted_classifier(cells_: DataFrame, text: str = "ground_truth", key: str = "row_id") -> Classifier:
     """Corpus counts over all rows, then the fit on a bounded sample."""
     tail = F.regexp_extract(F.rtrim(F.regexp_replace(F.substring(F.col(text), -160, 160), r"\s+$", "")), r"\n([^\n]{1,24})$", 1)
@@ -252,17 +290,15 @@ def fitted_classifier(cells_: DataFrame, text: str = "ground_truth", key: str =
     # Each key once, after texts are reduced to what is counted.
     held = cells_.where(F.length(F.trim(text)) > 0)
     narrow = held.select(key, F.length(text).alias("chars"), F.octet_length(text).alias("bytes"), closing.alias("closing")).dropDuplicates([key])
-    whats = F.array(F.concat(F.lit("n"), F.col("chars").cast("string")), F.concat(F.lit("n"), F.col("bytes").cast("string")), F.concat(F.lit("c"), "closing"))
-    stats = narrow.select(F.explode(whats).alias("what")).where("what <> 'c'")
+    whats = F.array(F.concat(F.lit("n"), F.col("chars").cast("string")), F.concat(F.lit("n"), F.col("bytes").cast("string")))
+    stats = narrow.select(F.explode(whats).alias("what"))
     counts = cut_lineage(stats.groupBy("what").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST))
-    odd = F.col("what").rlike(r"[。；;，,|.:：、]$|^c[-*·#=]|  |9 9|[&<>|\\]")
-    closers = counts.where(F.col("what").startswith("c") & ~odd).orderBy(F.desc("n"), "what").limit(CLOSERS)
     # A limit is a length that several times as many rows have as the lengths around it.
     n_rows, longest = narrow.agg(F.count("*"), F.max("bytes")).first()
     level = max(LEAST, 6 * n_rows // max(1, longest or 1))
     piled = counts.where(F.col("what").startswith("n") & (F.col("n") >= level) & (F.substring("what", 2, 12).cast("int") > 64)).orderBy(F.desc("n"), "what").limit(LENGTHS)
     lengths = frozenset(int(r[0][1:]) for r in piled.select("what").toLocalIterator())
-    marks = frozenset(r[0][1:] for r in closers.select("what").toLocalIterator())
+    marks = closing_lines(held, narrow, n_rows, text)
     rows = sorted(tuple(r) for r in hash_sample(held.select(key, text), key, SAMPLE, text).where(F.col(key).isNotNull()).dropDuplicates([key]).toLocalIterator())
     return Classifier(lengths, marks).fit([t for _, t in rows])
 

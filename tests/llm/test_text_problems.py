@@ -38,6 +38,20 @@ def test_truncation_held_out():
     assert (model.score(whole) < 0.5).mean() > 0.97 and (model.score(cut) >= 0.5).mean() > 0.97
 
 
+def test_fragments_are_no_closing_lines(spark):
+    """Fragments that a cut left after a line break repeat in a large table, but longer lines begin with them."""
+    prose = [f"第{i}次，投保人应当在{i}日内核对编号{i * 37}的保险单。\n除另有约定外，金额为{i * 911}元的，由理赔专员复查。" for i in range(300)]
+    rows = [(i, t) for i, t in enumerate(prose)]
+    rows += [(1_000 + i, f"{t}\n\n第 {i} 页") for i, t in enumerate(prose[:40])] + [(2_000 + i, f"{t}\n\n2024年1月{i + 1}日") for i, t in enumerate(prose[:20])]
+    rows += [(3_000 + i, f"{t}\n除另有约") for i, t in enumerate(prose[100:130])]  # cut just after a line break
+    rows += [(4_000 + i, f"{t}\n2024年1月{i + 1}日起，本公司应当返还保险单的全部价值。") for i, t in enumerate(prose[200:240])]
+    data = [(i, "s", t) for i, t in rows]
+    df = spark.createDataFrame(data, "row_id long, source string, ground_truth string")
+    model = truncation.fitted_classifier(df)
+    assert model.closers == {"第 9 页", "9年9月9日"}
+    assert {r["row_id"] for r in truncation.cut_rows(df).collect()} >= set(range(3_000, 3_030))
+
+
 def brute_share(core):
     seen, covered = set(), set()
     for i in range(len(core) - repetition.PASSAGE + 1):
