@@ -14,6 +14,7 @@ are counted over all rows. Null and blank texts are not cut.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections import Counter
@@ -23,15 +24,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from gridloom.llm.sampling import hash_sample
 from gridloom.session import cut_lineage, ship_package
 
 #: Rows the classifier is fitted on, cuts made of each intact row, width of the hashed features.
 SAMPLE, CUTS, BITS = 6_000, 3, 16
-#: Lengths kept (the most frequent ones), how often a length or a closing line must occur at least, and the rows
-#: for which a closing line must occur once. The last is the same share of a table of any size.
-LENGTHS, LEAST, ROWS_A_CLOSER = 64, 5, 10_000
+#: How often a length or a closing line must occur at least, and the rows for which a closing line must occur once.
+#: The last is the same share of a table of any size.
+LEAST, ROWS_A_CLOSER = 5, 10_000
+#: A limit has so many times the mean count of the lengths up to ``AROUND`` away; those up to ``BESIDE`` away are left
+#: out, since characters of several bytes and marks put behind a cut spread it. By chance a table has ``CHANCE`` such.
+TIMES, AROUND, BESIDE, CHANCE = 4, 32, 4, 0.01
 #: A full date is a whole line even where other lines begin with one.
 _DATE = r"^9(年9月9日|([-/.])9\2 ?9)$"
 _ODD_CLOSER = r"[。；;，,|.:：、]$|^[-*·#=]|  |9 9|[&<>|\\]"
@@ -283,6 +288,30 @@ def closing_lines(held: DataFrame, closings: DataFrame, n_rows: int, text: str)
     return frozenset(c for c, n in alone.items() if longer.get(c, 0) <= n or re.search(_DATE, c))
 
 
+def length_limits(lengths: DataFrame) -> frozenset[int]:
+    """Values of ``length`` that rows pile up at: ``TIMES`` as many as at the lengths around, and more than chance gives.
+
+    Lengths are gathered in blocks of ``AROUND`` with the blocks on either side,
+    so no part of the histogram is larger than three blocks.
+    """
+    counts = lengths.groupBy("length").agg(F.count("*").alias("n"))
+    block = F.floor(F.col("length") / AROUND)
+    near = counts.withColumn("block", F.explode(F.array(block - 1, block, block + 1)))
+    by_block = Window.partitionBy("block").orderBy("length")
+    around = F.sum("n").over(by_block.rangeBetween(-AROUND, AROUND)) - F.sum("n").over(by_block.rangeBetween(-BESIDE, BESIDE))
+    seen = cut_lineage(near.withColumn("usual", around / (2 * (AROUND - BESIDE))).where(F.col("block") == block).select("length", "n", "usual"))
+    tested = seen.count()
+    piled = seen.where((F.col("length") > 64) & (F.col("n") >= LEAST) & (F.col("n") >= TIMES * F.col("usual")))
+    return frozenset(k for k, n, usual in piled.toLocalIterator() if poisson_tail(n, usual) * tested < CHANCE)
+
+
+def poisson_tail(n: int, mean: float) -> float:
+    """Upper bound of the chance of ``n`` or more where ``mean`` are usual, ``n`` being larger."""
+    if mean <= 0:
+        return 0.0
+    return math.exp(n * math.log(mean) - mean - math.lgamma(n + 1)) / (1 - mean / (n + 1))
+
+
 def fitted_classifier(cells_: DataFrame, text: str = "ground_truth", key: str = "row_id") -> Classifier:
     """Corpus counts over all rows, then the fit on a bounded sample."""
     tail = F.regexp_extract(F.rtrim(F.regexp_replace(F.substring(F.col(text), -160, 160), r"\s+$", "")), r"\n([^\n]{1,24})$", 1)
@@ -290,14 +319,9 @@ def fitted_classifier(cells_: DataFrame, text: str = "ground_truth", key: str =
     # Each key once, after texts are reduced to what is counted.
     held = cells_.where(F.length(F.trim(text)) > 0)
     narrow = held.select(key, F.length(text).alias("chars"), F.octet_length(text).alias("bytes"), closing.alias("closing")).dropDuplicates([key])
-    whats = F.array(F.concat(F.lit("n"), F.col("chars").cast("string")), F.concat(F.lit("n"), F.col("bytes").cast("string")))
-    stats = narrow.select(F.explode(whats).alias("what"))
-    counts = cut_lineage(stats.groupBy("what").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST))
-    # A limit is a length that several times as many rows have as the lengths around it.
-    n_rows, longest = narrow.agg(F.count("*"), F.max("bytes")).first()
-    level = max(LEAST, 6 * n_rows // max(1, longest or 1))
-    piled = counts.where(F.col("what").startswith("n") & (F.col("n") >= level) & (F.substring("what", 2, 12).cast("int") > 64)).orderBy(F.desc("n"), "what").limit(LENGTHS)
-    lengths = frozenset(int(r[0][1:]) for r in piled.select("what").toLocalIterator())
+    # A text whose characters are bytes has one length.
+    lengths = length_limits(narrow.select(F.explode(F.array_distinct(F.array("chars", "bytes"))).alias("length")))
+    n_rows = narrow.count()
     marks = closing_lines(held, narrow, n_rows, text)
     rows = sorted(tuple(r) for r in hash_sample(held.select(key, text), key, SAMPLE, text).where(F.col(key).isNotNull()).dropDuplicates([key]).toLocalIterator())
     return Classifier(lengths, marks).fit([t for _, t in rows])

@@ -52,6 +52,14 @@ def test_fragments_are_no_closing_lines(spark):
     assert {r["row_id"] for r in truncation.cut_rows(df).collect()} >= set(range(3_000, 3_030))
 
 
+def test_limits_stand_out_from_the_lengths_around(spark):
+    """Ordinary lengths of a large table are frequent too, and one long text says nothing about them."""
+    sizes = [n for n in range(500, 1_100) for _ in range(6 + n % 4)] + [900] * 60 + [1_024] * 50 + [3_001] * 9 + [200_000]
+    df = spark.createDataFrame([(i, "s", "a" * n) for i, n in enumerate(sizes)], "row_id long, source string, ground_truth string")
+    assert truncation.fitted_classifier(df).lengths == {900, 1_024, 3_001}
+    assert truncation.poisson_tail(3, 0.5) == pytest.approx(0.01439, rel=0.02) and truncation.poisson_tail(5, 0.0) == 0.0
+
+
 def brute_share(core):
     seen, covered = set(), set()
     for i in range(len(core) - repetition.PASSAGE + 1):
