@@ -11,8 +11,11 @@ all their fingerprints and then on their texts: seeds are chained along
 diagonals and extended to maximal common passages (coverage), and the share of
 common runs of ``GRAM`` characters decides.
 
-Texts with fewer than ``GRAM`` core characters are alike only if their cores
-are equal. Null and blank texts match nothing. Names without a record, names
+An edit may touch every fingerprint of a short text. Texts of fewer than
+``SHORT`` distinct runs of ``GRAM`` characters, and those up to half again as
+many, which can be alike to them, are joined on all these runs by the same
+filter with the share that is asked for, which loses no pair. Texts with fewer
+than ``GRAM`` core characters are alike only if their cores are equal. Null and blank texts match nothing. Names without a record, names
 listed twice and the list ``all`` add nothing; repeated rows count once.
 """
 
@@ -35,6 +38,8 @@ SEED, WINDOW, GRAM = 8, 6, 5
 #: limit of two thirds of the runs of five characters keep a third of the fingerprints even if edits lie evenly.
 NEAR = 0.25
 SHARE = 2 / 3
+#: Distinct runs of ``GRAM`` characters below which a text is matched on all of them.
+SHORT = 100
 
 
 def winnow(text_core: str) -> tuple[np.ndarray, np.ndarray]:
@@ -55,6 +60,19 @@ def grams(text_core: str) -> np.ndarray:
     return np.unique(rolling(codes(text_core), GRAM))
 
 
+def all_runs(text_core: str) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes (signed) and first places of all runs of ``GRAM`` characters."""
+    keys, first = np.unique(rolling(codes(text_core), GRAM), return_index=True)
+    return keys.view(np.int64), first
+
+
+def marks_of(text_core: str) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints, and all runs of a text that is short or can be alike to a short one; the other is empty."""
+    runs = all_runs(text_core)[0]
+    none = runs[:0]
+    return none if len(runs) < SHORT else winnow(text_core)[0], runs if len(runs) * 2 <= SHORT * 3 else none
+
+
 def compare(a: str, b: str) -> tuple[float, float, float]:
     """Share of common runs, and the part of each core in common passages of a collinear chain."""
     if a == b:
@@ -62,8 +80,9 @@ def compare(a: str, b: str) -> tuple[float, float, float]:
     ga, gb = grams(a), grams(b)
     most = max(len(ga), len(gb))
     share = len(np.intersect1d(ga, gb, assume_unique=True)) / most if most else 0.0
-    ha, pa_ = winnow(a)
-    hb, pb_ = winnow(b)
+    seeds_of = all_runs if min(len(ga), len(gb)) < SHORT else winnow
+    ha, pa_ = seeds_of(a)
+    hb, pb_ = seeds_of(b)
     common, ia, ib = np.intersect1d(ha, hb, assume_unique=True, return_indices=True)
     if not len(common):
         return share, 0.0, 0.0
@@ -104,7 +123,7 @@ def compare(a: str, b: str) -> tuple[float, float, float]:
 
 
 def _fingerprinted(records: DataFrame) -> DataFrame:
-    """``(file_name, source, cls, c, core, marks)`` of every record with a core, each file once; ``c`` is a short form of ``cls``."""
+    """``(file_name, source, cls, c, core, marks, runs)`` of every record with a core, each file once; ``c`` is a short form of ``cls``."""
 
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,6 +131,7 @@ def _fingerprinted(records: DataFrame) -> DataFrame:
             keep = [i for i, c in enumerate(cores) if c]
             rows = pa.array(keep, pa.int64())
             kept = [cores[i] for i in keep]
+            marked = [marks_of(c) for c in kept]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(rows),
@@ -119,13 +139,13 @@ def _fingerprinted(records: DataFrame) -> DataFrame:
                     pa.array([xxhash.xxh3_128_hexdigest(c.encode("utf-8", "replace")) for c in kept], pa.string()),
                     pa.array([xxhash.xxh3_64_intdigest(c.encode("utf-8", "replace")) - (1 << 63) for c in kept], pa.int64()),
                     pa.array(kept, pa.string()),
-                    pa.array([winnow(c)[0] for c in kept], pa.list_(pa.int64())),
+                    *(pa.array([m[k] for m in marked], pa.list_(pa.int64())) for k in range(2)),
                 ],
-                names=["file_name", "source", "cls", "c", "core", "marks"],
+                names=["file_name", "source", "cls", "c", "core", "marks", "runs"],
             )
 
     rows = records.select("file_name", "source", "read_text").where("file_name is not null and read_text is not null")
-    return rows.mapInArrow(prepare, "file_name string, source string, cls string, c bigint, core string, marks array<bigint>").dropDuplicates(["file_name"])
+    return rows.mapInArrow(prepare, "file_name string, source string, cls string, c bigint, core string, marks array<bigint>, runs array<bigint>").dropDuplicates(["file_name"])
 
 
 def listed(splits: DataFrame) -> DataFrame:
@@ -140,31 +160,37 @@ def _overlaps(splits: DataFrame, records: DataFrame) -> tuple[DataFrame, DataFra
     texts = cut_lineage(_fingerprinted(records))
     members = listed(splits).join(texts.select("file_name", "source", "cls", "c"), "file_name")
     classes = members.groupBy("run_id", "cls", "c").agg(F.bool_or(F.col("name") == "train").alias("left"), F.bool_or(F.col("name") != "train").alias("right"))
-    # One narrow row of numbers for each mark of a class in a run: ``k`` is run and mark, ``at`` run and class. Candidates
+    # One narrow row of numbers for each mark of a class in a run: ``k`` is run and mark, ``at`` run and class, each with
+    # the kind of mark (``short``: runs of short texts). Candidates
     # found through equal hashes of different values fall away below, where classes and texts are compared themselves.
-    held = classes.join(texts.select("cls", "marks").dropDuplicates(["cls"]), "cls")
-    marks = held.select("c", F.xxhash64("run_id", "cls").alias("at"), "run_id", "left", "right", F.size("marks").alias("n"), F.explode("marks").alias("mark"))
-    marks = marks.select("c", "at", F.xxhash64("run_id", "mark").alias("k"), "left", "right", "n")
+    held = classes.join(texts.select("cls", "marks", "runs").dropDuplicates(["cls"]), "cls")
+    kinds = F.array(F.struct(F.lit(False).alias("short"), F.col("marks").alias("of")), F.struct(F.lit(True).alias("short"), F.col("runs").alias("of")))
+    held = held.select("c", "cls", "run_id", "left", "right", F.explode(kinds).alias("kind")).select("c", "cls", "run_id", "left", "right", "kind.short", "kind.of")
+    marks = held.select("c", F.xxhash64("run_id", "cls", "short").alias("at"), "run_id", "left", "right", "short", F.size("of").alias("n"), F.explode("of").alias("mark"))
+    marks = marks.select("c", "at", F.xxhash64("run_id", "mark", "short").alias("k"), "left", "right", "short", "n")
     spread = marks.groupBy("k").agg(F.count("*").cast("int").alias("df"), F.bool_or("left").alias("any_left"), F.bool_or("right").alias("any_right"))
     # Marks of one side come first in the common order; they join nothing, so only their number matters to the rank of the others.
     both_sided = spread.where("any_left and any_right").select("k", "df")
     by_class = Window.partitionBy("at")
     ranked = marks.join(both_sided, "k").withColumn("rank", F.row_number().over(by_class.orderBy("df", "k"))).withColumn("n_both", F.count("*").over(by_class))
-    rare = ranked.where(F.col("n") - F.col("n_both") + F.col("rank") <= F.floor(F.col("n") * (1 - NEAR)) + 1)
-    rare = cut_lineage(rare.select("k", "c", "n", "left", "right"))
-    a = rare.where("left").select("k", F.col("c").alias("x"), F.col("n").alias("n_x"))
+    others = F.when(F.col("short"), F.floor(F.col("n") / 3)).otherwise(F.floor(F.col("n") * (1 - NEAR)))
+    rare = ranked.where(F.col("n") - F.col("n_both") + F.col("rank") <= others + 1)
+    rare = cut_lineage(rare.select("k", "c", "short", "n", "left", "right"))
+    a = rare.where("left").select("k", "short", F.col("c").alias("x"), F.col("n").alias("n_x"))
     b = rare.where("right").select("k", F.col("c").alias("y"), F.col("n").alias("n_y"))
-    near_size = F.least("n_x", "n_y") >= F.greatest("n_x", "n_y") * NEAR
+    near_size = F.when(F.col("short"), F.least("n_x", "n_y") * 3 >= F.greatest("n_x", "n_y") * 2).otherwise(F.least("n_x", "n_y") >= F.greatest("n_x", "n_y") * NEAR)
     # The texts of a pair of classes are compared once, whatever the runs and sides that have it.
     met = a.join(b, "k").where((F.col("x") != F.col("y")) & near_size)
-    short = cut_lineage(met.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct())
+    met_once = cut_lineage(met.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct())
     # Only texts that are in some pair go on.
-    wanted = short.select(F.col("x").alias("c")).unionAll(short.select(F.col("y").alias("c"))).distinct()
-    bodies = cut_lineage(texts.select("cls", "c", "core", "marks").join(wanted, "c", "left_semi").dropDuplicates(["cls"]))
-    held_a = bodies.select(F.col("c").alias("x"), F.col("cls").alias("a"), F.col("marks").alias("marks_a"))
-    held_b = bodies.select(F.col("c").alias("y"), F.col("cls").alias("b"), F.col("marks").alias("marks_b"))
-    common = F.size(F.array_intersect("marks_a", "marks_b"))
-    alike = short.join(held_a, "x").join(held_b, "y").where(common >= F.greatest(F.size("marks_a"), F.size("marks_b")) * NEAR).select("a", "b")
+    wanted = met_once.select(F.col("x").alias("c")).unionAll(met_once.select(F.col("y").alias("c"))).distinct()
+    bodies = cut_lineage(texts.select("cls", "c", "core", "marks", "runs").join(wanted, "c", "left_semi").dropDuplicates(["cls"]))
+    held_a = bodies.select(F.col("c").alias("x"), F.col("cls").alias("a"), F.col("marks").alias("marks_a"), F.col("runs").alias("runs_a"))
+    held_b = bodies.select(F.col("c").alias("y"), F.col("cls").alias("b"), F.col("marks").alias("marks_b"), F.col("runs").alias("runs_b"))
+    common = F.size(F.array_intersect("marks_a", "marks_b")) >= F.greatest(F.size("marks_a"), F.size("marks_b")) * NEAR
+    common_runs = F.size(F.array_intersect("runs_a", "runs_b")) * 3 >= F.greatest(F.size("runs_a"), F.size("runs_b")) * 2
+    both_short = (F.size("runs_a") > 0) & (F.size("runs_b") > 0)
+    alike = met_once.join(held_a, "x").join(held_b, "y").where(F.when(both_short, common_runs).otherwise(common)).select("a", "b")
     with_text = alike.join(bodies.select(F.col("cls").alias("a"), F.col("core").alias("core_a")), "a").join(
         bodies.select(F.col("cls").alias("b"), F.col("core").alias("core_b")), "b"
     )

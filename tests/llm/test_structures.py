@@ -140,6 +140,27 @@ def test_overlaps_equal_brute_force(spark):
     assert overlap.overlapping_files(lists.limit(0), records).count() == 0 and overlap.overlapping_files(lists, records.limit(0)).count() == 0
 
 
+def test_short_texts_lose_no_pair(spark):
+    """An edit in a text of 8 to 150 characters may touch every fingerprint of it."""
+    rng = random.Random(3)
+    say = lambda n: "".join(rng.choice("投保人应当核对编号并注明金额由双方各执一份理赔专员复查保险单自签收次日零时起本公司") for _ in range(n))
+    texts = {}
+    for i in range(400):
+        t = say(rng.choice([4, 5, 6, 8, 9, 10, 11, 12, 13, 16, 20, 25, 30, 40, 60, 90, 110, 150]))
+        at = rng.randrange(len(t))
+        u = rng.choice([t[:at] + "甲" + t[at + 1 :], t[:-1], "乙" + t, t + say(len(t) // 3), "".join("丙" if k % 16 == 7 else c for k, c in enumerate(t))])
+        texts |= {f"a{i}.jpg": t, f"b{i}.jpg": u}
+    texts |= {"a_loop.jpg": "保单" * 200, "b_loop.jpg": "保单保单保单保"}
+    records = spark.createDataFrame([(i, f, "s", t) for i, (f, t) in enumerate(texts.items())], "record_id long, file_name string, source string, read_text string")
+    a, b = [f for f in texts if f[0] == "a"], [f for f in texts if f[0] == "b"]
+    lists = spark.createDataFrame([("r", "train", a), ("r", "test", b)], "run_id string, name string, file_names array<string>")
+    got = overlap.cross_split_pairs(lists, records).collect()
+    runs = {f: set(overlap.grams(overlap.core(t)).tolist()) for f, t in texts.items()}
+    want = {(x, y) for x in a for y in b if texts[x] == texts[y] or runs[x] and len(runs[x] & runs[y]) * 3 >= 2 * max(len(runs[x]), len(runs[y]))}
+    assert {(r["train_file"], r["file_name"]) for r in got} == want and len(got) == len(want) > 150
+    assert ("a_loop.jpg", "b_loop.jpg") in want and min(r["cover"] for r in got) > 0.5
+
+
 def test_compare():
     a = "投保人应当核对编号并注明金额由双方各执一份"
     assert overlap.compare(a, a) == (1.0, 1.0, 1.0)
