@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.text_core import codes, core, core_words, join_codes, rolling, slices
+from gridloom.llm.text_core import codes, core, join_codes, rolling, slices, word_sizes
 from gridloom.session import ship_package
 
 #: Items of one broadcast block, and core characters of an item beyond which a block holds it alone.
@@ -119,7 +119,7 @@ class ItemIndex:
             both = np.unique(both, axis=1)  # an item once for each key
             self.tables.append(_Lists(both[0], both[1].astype(np.int64)))
         width = PASSAGE[script]
-        words = [[len(w) for w in core_words(t)] for _, t in rows] if script == "en" else [[] for _ in rows]
+        words = [word_sizes(t, c) for (_, t), c in zip(rows, cores)] if script == "en" else [[] for _ in rows]
         self.least = width
         if script == "en":  # the core characters of any 8 words in a row
             spans = [sum(w[i : i + PASSAGE_WORDS]) for w in words for i in range(max(1, len(w) - PASSAGE_WORDS + 1))]
@@ -135,10 +135,9 @@ class ItemIndex:
         # Whole words that start before, and that end before each place: their difference counts the words of a passage.
         starts, stops = np.zeros(len(joined) + 1, np.int64), np.zeros(len(joined) + 1, np.int64)
         for k, sizes in enumerate(words):
-            if sum(sizes) == self.length[k]:
-                edge = ends[k] + np.cumsum([0, *sizes])
-                starts[edge[:-1]] += 1
-                stops[edge[1:]] += 1
+            edge = ends[k] + np.cumsum([0, *sizes])
+            np.add.at(starts, edge[:-1], 1)
+            np.add.at(stops, edge[1:], 1)
         self.begun, self.ended = np.concatenate(([0], np.cumsum(starts))), np.cumsum(stops)
         self.grams = _Lists(np.concatenate(grams) if grams else np.zeros(0, np.uint64), np.concatenate(places) if places else np.zeros(0, np.int64))
         # A passage of w or more characters holds an aligned run for every 3 w - 2 of its characters, or the

@@ -63,9 +63,30 @@ def core(text: str | None) -> str:
 
 
 def core_words(text: str | None) -> list[str]:
+    """The words that a core is put together from."""
     if not text:
         return []
-    return _WORD.findall(fold(_INVISIBLE.sub("", drop_markup(text))))
+    plain = _INVISIBLE.sub("", drop_markup(text))
+    if plain.isascii():
+        return _WORD.findall(plain.lower())
+    # What the core drops before it folds (signs that folding makes letters of) must not come back here.
+    return _WORD.findall(_bare(fold(_OTHER.sub(" ", _bare(plain)))))
+
+
+def _bare(text: str) -> str:
+    """Without combining marks, which are in no core and end no word."""
+    return text if text.isascii() else "".join(c for c in text if not unicodedata.combining(c))
+
+
+def word_sizes(text: str, text_core: str) -> list[int]:
+    """Characters of each word in the core of a text; they always add up to it."""
+    words = core_words(text)
+    sizes = [len(w) for w in words]
+    if sum(sizes) == len(text_core):
+        return sizes
+    # Letters on both sides of a space that become one in the core: each word has what the core grows by.
+    edges = np.minimum([len(core("".join(words[: k + 1]))) for k in range(len(words))], len(text_core))
+    return np.diff([0, *edges[:-1], len(text_core)]).tolist() if words else []
 
 
 def slices(texts: list[str | None], rows: int = 1_500, chars: int = 4_000_000) -> Iterator[tuple[int, int]]:

@@ -191,6 +191,21 @@ def test_leaks_equal_brute_force(spark):
     assert leak.leaked_items(df.limit(0), q).count() == 0 and leak.leaked_items(df, q.limit(0)).count() == 0
 
 
+def test_leaks_of_items_with_signs(spark):
+    """Signs that folding makes letters of, decomposed letters and letters that join across a space lose no item."""
+    rng = random.Random(12)
+    en = lambda: " ".join(rng.choice("the policyholder shall promptly verify any annexed bonus notice and return a stamped benefit ratio".split()) for _ in range(40))
+    items = [(i, "en", f"{en()} {sign} {en()}") for i, sign in enumerate(["Acme\u2122 tariff", "\u2116 7 at 20 \u2103", "40 \u33a1 of floor", "cafe\u0301s and \u0130stanbul", "\u1100 \u1161 mark", "\u2474a \ufb01ne"])]
+    documents = [(10 + i, f"{en()}. {t} {en()}") for i, _, t in items]
+    got = leak.leaked_items(spark.createDataFrame(documents, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, lang string, text string"))
+    assert {tuple(r) for r in got.collect()} == {(10 + i, i) for i, _, _ in items}
+    signs = "".join(map(chr, [*range(0xA0, 0x1100), *range(0x2000, 0xD800), *range(0xF900, 0xFFFE)]))
+    for k in range(0, len(signs), 7):
+        text = "word " + signs[k : k + 7].replace("", " a ")
+        assert sum(text_core.word_sizes(text, text_core.core(text))) == len(text_core.core(text))
+    assert text_core.core_words("cafe\u0301s \u0130stanbul Acme\u2122") == ["cafes", "istanbul", "acme"]
+
+
 def test_quality(spark):
     words = spark.createDataFrame([("zh", w) for w in "的在和应由自起并"] + [("en", w) for w in "the a of to and".split()] + [(None, None)], "lang string, word string")
     prose = [(i, f"据此，投保人应当在{i}日内核对保险单的编号，并由双方各执一份。其中，金额为{i}元的，应由理赔专员复查。\n同时，自签收次日起，本公司应及时返还保费，并在{i}日内通知。") for i in range(30)]
