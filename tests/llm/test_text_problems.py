@@ -111,6 +111,18 @@ def test_markup_kinds(text):
     assert markup.kinds(text) == MARKUP[text]
 
 
+LONG_OPENINGS = {
+    "见 <a href=\"https://x.cn/" + "q1/" * 300: ["html"], "图 <img src='" + "一 " * 400: ["html"], "<td class=\"c\" title=\"" + "说明，" * 200: ["html"],
+    "见 [" + "附表所列的费率" * 30: ["markdown"], "见 [" + "附表所列的费率" * 30 + "](": ["markdown"], "见 [" + "附表所列的费率" * 30 + "](#s": ["markdown"],
+    "保额 < 100 元" + "的保险单" * 100: [], "<a b, " + "c d, " * 100: [], "见[6" + "附表" * 60: [], "<b" + " x=" * 2_000 + " >": [], "[" * 5_000 + "]": [], "<" * 5_000: [],
+}
+
+
+@pytest.mark.parametrize("text", list(LONG_OPENINGS), ids=range(len(LONG_OPENINGS)))
+def test_long_openings_that_a_cut_left(text):
+    assert markup.kinds(text) == LONG_OPENINGS[text]
+
+
 def test_markup_frames(spark, cells):
     records = spark.createDataFrame([(1, "s", "<h1>T</h1><ul><li>a</li></ul>", "x"), (1, "s", "<h1>T</h1><ul><li>a</li></ul>", "x"), (2, None, None, "x"), (3, "s", "", "x"), (None, "s", "**b**", "x")], "record_id long, source string, read_text string, text string")
     both = markup.texts_of(cells, records)
