@@ -296,11 +296,23 @@ class LineModel:
         return self
 
 
+#: Common words that are sent to every worker at most, and Latin ones up to which one pattern is quicker than a set.
+COMMON_WORDS, PATTERN_WORDS = 200_000, 1_000
+
+
+def all_common_words(common_words: DataFrame) -> list[str]:
+    """Every word once in lower case, in order; more than can be sent to the workers are an error, never a part of the list."""
+    rows = common_words.where("word is not null").select(F.lower("word").alias("w")).distinct().limit(COMMON_WORDS + 1).toLocalIterator()
+    words = sorted(r[0] for r in rows)
+    if len(words) > COMMON_WORDS:
+        raise ValueError(f"common_words has more than {COMMON_WORDS} words")
+    return words
+
+
 def fitted_model(documents: DataFrame, common_words: DataFrame) -> LineModel:
     """Fit on about ``SAMPLE`` documents chosen by the hash of their id."""
     rows = sorted(tuple(r) for r in hash_sample(documents, "doc_id", SAMPLE, "text").select("doc_id", "text").where("text is not null and doc_id is not null").toLocalIterator())
-    words = [r[0] for r in common_words.where("word is not null").select("word").distinct().orderBy("word").limit(10_000).toLocalIterator()]
-    return LineModel(words).fit([t for _, t in rows if t.strip()])
+    return LineModel(all_common_words(common_words)).fit([t for _, t in rows if t.strip()])
 
 
 def line_shares(documents: DataFrame, common_words: DataFrame) -> DataFrame:
@@ -347,18 +359,21 @@ def text_statistics(documents: DataFrame, common_words: DataFrame) -> DataFrame:
     ``n_words``, ``mean_word_length``, ``symbol_ratio`` (of the non-space
     characters), ``line_end_ratio`` (of the non-blank lines) and
     ``common_ratio`` (of the words). A null text has null throughout; a ratio of
-    nothing is null. The common words (at most 10,000) become one pattern.
+    nothing is null. All common words count; those that are no word
+    here (several ideographs, or with other signs) equal none.
     """
-    rows = common_words.where("word is not null").select(F.lower("word").alias("w")).distinct().orderBy("w").limit(10_000).collect()
-    latin = [r[0] for r in rows if re.fullmatch("[a-z0-9]+", r[0])]
-    others = [r[0] for r in rows if re.fullmatch("[一-鿿]", r[0])]
+    words = all_common_words(common_words)
+    latin = [w for w in words if re.fullmatch("[a-z0-9]+", w)]
+    others = [w for w in words if re.fullmatch("[一-鿿]", w)]
     low = F.lower("text")
     n_words = F.regexp_count(low, F.lit(WORD))
     in_words = F.length(low) - F.length(F.regexp_replace(low, "[a-z0-9一-鿿]+", ""))  # taking the longer runs out is cheaper
     n_seen = F.length(F.regexp_replace("text", f"[{SPACES}]+", ""))
     n_symbols = F.length(F.regexp_replace("text", f"[{SPACES}0-9A-Za-z一-鿿]+", ""))
     n_common = F.when(low.isNotNull(), 0)
-    if latin:
+    if len(latin) > PATTERN_WORDS:
+        n_common = n_common + F.size(F.filter(F.regexp_extract_all(low, F.lit("[a-z0-9]+"), F.lit(0)), lambda w: w.isin(latin)))
+    elif latin:
         n_common = n_common + F.regexp_count(low, F.lit(f"(?=[a-z0-9])(?<![a-z0-9])(?:{'|'.join(latin)})(?![a-z0-9])"))
     if others:
         n_common = n_common + F.length(low) - F.length(F.regexp_replace(low, f"[{''.join(others)}]+", ""))

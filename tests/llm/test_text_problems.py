@@ -245,3 +245,16 @@ def test_statistics(spark):
     assert got[1] == (5, 9 / 5, 3 / 12, 2 / 3, 2 / 5)
     assert got[2] == (None,) * 5 and got[3] == got[4] == (0, None, None, None, None) and got[5] == (0, None, 1.0, 1.0, None)
     assert quality.text_statistics(df.limit(0), words.limit(0)).count() == 0
+
+
+def test_all_common_words_count(spark, monkeypatch):
+    many = spark.range(12_000).selectExpr("'en' as lang", "concat('A', id) as word").unionAll(spark.createDataFrame([("en", "the"), ("en", "zoo"), ("zh", "龍"), ("zh", "保险")], "lang string, word string"))
+    df = spark.createDataFrame([(1, "The zoo, a11999 b1 a0x 龍保险"), (2, None)], "doc_id long, text string")
+    ratio = lambda: {r["doc_id"]: r["common_ratio"] for r in quality.text_statistics(df, many).collect()}
+    assert ratio() == {1: 4 / 8, 2: None}  # a word of several ideographs is none of the words counted
+    monkeypatch.setattr(quality, "PATTERN_WORDS", 20_000)
+    assert ratio() == {1: 4 / 8, 2: None}
+    assert {"the", "zoo", "龍", "a11999"} <= quality.fitted_model(df, many).common
+    monkeypatch.setattr(quality, "COMMON_WORDS", 12_003)
+    with pytest.raises(ValueError):
+        quality.text_statistics(df, many)
