@@ -1,26 +1,30 @@
 """Evaluation passages inside a training corpus.
 
-Candidates. Each run of ``width`` core characters is embedded by the CGK random
-walk, which maps edit distance to Hamming distance; bit-sampling tables look up
-the embedded runs of the documents among those of the items. A passage of at
-least ``2 * width - 1`` characters holds a whole aligned run, so documents are
-read run by run and items at every offset. Equal runs have equal embeddings:
-recall of the passages that count is 1; sampled positions let lightly edited
-runs meet too.
-
-Verification. For the pairs left, shared passages (16 core characters, or 8
-words of an English item) are located exactly, and a pair stays if they cover
-at least half of the item's core.
-
-The query set is read in blocks of ``ITEM_BLOCK`` items: each block is a
-broadcast of bounded size, whatever the number of items; all documents pass
-each block. Null, empty and blank texts match nothing; repeated documents
-come out once for each row, items with an empty core never match.
+Candidates. A passage that counts has at least ``P`` core characters (16, or
+the shortest eight words in a row of an English item). Documents are read run
+by run (``width`` characters each, one after another) and items at every
+offset; with ``2 * width - 1 <= P`` each passage holds a whole run of the
+document, so an item is met wherever one of its passages stands. How many runs
+an item must meet follows from how few distinct runs can make up half of it
+(``needed``), so an item that repeats a phrase is found in a document that has
+the phrase once.
+
+Verification. For the pairs left, shared passages are located exactly, and a
+pair stays if they cover at least half of the item's core.
+
+Windows of the size of an item, embedded and sampled, are not what is looked
+up: half of an item may lie scattered in passages of sixteen characters, which
+no such window resembles (README has the figures).
+
+The query set is read in blocks of at most ``ITEM_BLOCK`` items and
+``ITEM_CHARS`` characters: each block is a broadcast of bounded size, whatever
+the number of items; all documents pass each block. Null, empty and blank texts
+match nothing; repeated documents come out once for each row, items with an
+empty core or fewer words than a passage never match.
 """
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Iterable, Iterator
 from functools import reduce
@@ -34,41 +38,32 @@ from gridloom.llm.text_core import codes, core, join_codes, rolling, slices, wor
 from gridloom.session import ship_package
 
 #: Items of one broadcast block, and core characters of an item beyond which a block holds it alone.
-ITEM_BLOCK, ITEM_CHARS = 2_000, 2_000_000
-#: Runs: core characters of one embedded run by the script of the item.
+ITEM_BLOCK, ITEM_CHARS = 20_000, 2_000_000
+#: Core characters of a run at most, by the script of the item; items with shorter passages have shorter runs.
 WIDTH = {"zh": 8, "en": 10}
 #: Exact passages: 16 characters (zh), or 8 words (en), which are sought by 20 core characters, or fewer if an item has shorter words.
 PASSAGE, PASSAGE_WORDS = {"zh": 16, "en": 20}, 8
-TABLES, SAMPLED, SEED = 2, 14, 20240
-
-_LETTERS = re.compile(r"[a-z]+")
-
-
-class _Walk:
-    """CGK embedding of runs of one width, and the sampled keys of it."""
-
-    def __init__(self, width: int):
-        rng = np.random.default_rng(SEED + width)
-        self.width, self.steps = width, 3 * width
-        self.factor = rng.integers(1, 1 << 32, self.steps, dtype=np.uint64) | np.uint64(1)
-        self.samples = [np.sort(rng.choice(self.steps, min(SAMPLED, self.steps), replace=False)) for _ in range(TABLES)]
-
-    def keys(self, runs: np.ndarray) -> list[np.ndarray]:
-        n, w = runs.shape
-        padded = np.zeros((n, w + 1), np.uint32)
-        padded[:, :w] = runs
-        flat, base = padded.ravel(), np.arange(n, dtype=np.int64) * (w + 1)
-        at, edge = base.copy(), base + w
-        keys = [np.zeros(n, np.uint64) for _ in range(TABLES)]
-        for j in range(self.steps):
-            c = flat[at].astype(np.uint64)
-            for key, sample in zip(keys, self.samples):
-                if j in sample:
-                    key *= np.uint64(0x100000001B3)
-                    key ^= c
-            step = (((c * self.factor[j]) >> np.uint64(31)) & np.uint64(1)).astype(np.int64)
-            np.minimum(at + step, edge, out=at)
-        return [(key * np.uint64(0x9E3779B97F4A7C15)) ^ np.uint64(t) for t, key in enumerate(keys)]
+
+
+def _run_keys(runs: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the rows of ``runs``."""
+    key = np.zeros(len(runs), np.uint64)
+    for j in range(runs.shape[1]):
+        key = (key ^ (runs[:, j].astype(np.uint64) + np.uint64(1))) * np.uint64(0x9E3779B97F4A7C15)
+    return key ^ (key >> np.uint64(29))
+
+
+def needed(counts: np.ndarray, length: int, passage: int, width: int) -> int:
+    """Runs of ``width`` characters, read one after another, that a document with half of an item has at least.
+
+    ``counts`` are the occurrences of each distinct run of the item. Passages
+    that cover half of it hold that half's share of starts of runs; the most
+    frequent runs make up this number with the fewest distinct ones, and each
+    stretch of ``2 * width - 1`` starts holds one that is read.
+    """
+    starts = -(-(-(-length // 2) * (passage - width + 1)) // passage)
+    distinct = int(np.searchsorted(np.cumsum(np.sort(counts)[::-1]), starts)) + 1
+    return max(1, -(-distinct // (2 * width - 1)))
 
 
 class _Lists:
@@ -97,77 +92,51 @@ class _Lists:
 
 
 class ItemIndex:
-    """Everything a worker needs of one block of items of one script."""
+    """Everything a worker needs of the items of a block whose passages are sought in the same way."""
 
-    def __init__(self, script: str, rows: list[tuple[int, str]]):
-        self.script, self.ids = script, np.array([i for i, _ in rows], np.int64)
-        cores = [core(t) for _, t in rows]
+    def __init__(self, script: str, passage: int, rows: list[tuple[int, str, list[int]]]):
+        """``rows`` are ``(item_id, core, characters of its words)``; ``passage`` are the characters of a passage at least."""
+        self.script, self.passage, self.ids = script, passage, np.array([r[0] for r in rows], np.int64)
+        self.width = min(WIDTH[script], (passage + 1) // 2)
+        cores = [r[1] for r in rows]
         self.length = np.array([len(c) for c in cores], np.int64)
-        self.walk = _Walk(WIDTH[script])
-        keys, owner = [[] for _ in range(TABLES)], []
-        for k, text in enumerate(cores):
-            c = codes(text)
-            if len(c) >= self.walk.width:
-                windows = np.lib.stride_tricks.sliding_window_view(c, self.walk.width)
-                owner.append(np.full(len(windows), k, np.int64))
-                for t, key in enumerate(self.walk.keys(windows)):
-                    keys[t].append(key)
-        owners = np.concatenate(owner) if owner else np.zeros(0, np.int64)
-        self.tables = []
-        for key in keys:
-            both = np.stack([np.concatenate(key), owners.astype(np.uint64)]) if key else np.zeros((2, 0), np.uint64)
-            both = np.unique(both, axis=1)  # an item once for each key
-            self.tables.append(_Lists(both[0], both[1].astype(np.int64)))
-        width = PASSAGE[script]
-        words = [word_sizes(t, c) for (_, t), c in zip(rows, cores)] if script == "en" else [[] for _ in rows]
-        self.least = width
-        if script == "en":  # the core characters of any 8 words in a row
-            spans = [sum(w[i : i + PASSAGE_WORDS]) for w in words for i in range(max(1, len(w) - PASSAGE_WORDS + 1))]
-            self.least = width = max(1, min([width, *spans]))
-        self.width = width
         joined, ends = join_codes(cores)
-        grams, places = [], []
-        for k in range(len(cores)):
-            h = rolling(joined[ends[k] : ends[k + 1]], width)
-            grams.append(h)
-            places.append(ends[k] + np.arange(len(h)))
-        self.item_of = np.repeat(np.arange(len(cores)), self.length)
+        keys, owner, grams, places = [], [], [], []
+        self.need = np.ones(len(rows), np.int64)
+        for k in range(len(rows)):
+            c = joined[ends[k] : ends[k + 1]]
+            distinct, counts = np.unique(_run_keys(np.lib.stride_tricks.sliding_window_view(c, self.width)), return_counts=True)
+            self.need[k] = needed(counts, len(c), passage, self.width)
+            keys.append(distinct)
+            owner.append(np.full(len(distinct), k, np.int64))
+            grams.append(rolling(c, passage))
+            places.append(ends[k] + np.arange(len(grams[-1])))
+        self.runs = _Lists(np.concatenate(keys), np.concatenate(owner))
+        self.item_of = np.repeat(np.arange(len(rows)), self.length)
         # Whole words that start before, and that end before each place: their difference counts the words of a passage.
         starts, stops = np.zeros(len(joined) + 1, np.int64), np.zeros(len(joined) + 1, np.int64)
-        for k, sizes in enumerate(words):
+        for k, (_, _, sizes) in enumerate(rows):
             edge = ends[k] + np.cumsum([0, *sizes])
             np.add.at(starts, edge[:-1], 1)
             np.add.at(stops, edge[1:], 1)
         self.begun, self.ended = np.concatenate(([0], np.cumsum(starts))), np.cumsum(stops)
-        self.grams = _Lists(np.concatenate(grams) if grams else np.zeros(0, np.uint64), np.concatenate(places) if places else np.zeros(0, np.int64))
-        # A passage of w or more characters holds an aligned run for every 3 w - 2 of its characters, or the
-        # bound says nothing; halved, since an item may repeat a passage that the document has once.
-        w = self.walk.width
-        sure = self.least >= 2 * w - 1
-        self.need = np.maximum(1, self.length // 2 // (3 * w - 2) // 2) if sure else np.ones(len(self.length), np.int64)
-        self.fewest = int(self.length.min()) // 4 if len(self.length) else 0
+        self.grams = _Lists(np.concatenate(grams), np.concatenate(places))
 
     def candidates(self, cores: list[str]) -> np.ndarray:
         """Pairs (document, item) with enough runs in common, as rows."""
-        w, n = self.walk.width, len(self.ids)
+        w, n = self.width, len(self.ids)
         cut = [c[: len(c) // w * w] for c in cores]
         owner = np.repeat(np.arange(len(cut)), [len(c) // w for c in cut])
         if not owner.size:
             return np.zeros((0, 2), np.int64)
-        runs = codes("".join(cut)).reshape(-1, w)
-        met = []
-        for table, keys in zip(self.tables, self.walk.keys(runs)):
-            rows, items = table.find(keys)
-            met.append(rows * n + items)
-        pairs = np.concatenate(met)
-        if TABLES > 1:
-            pairs = np.unique(pairs)  # a run meets an item once, in whatever table
-        count = np.bincount(owner[pairs // n] * n + pairs % n, minlength=len(cores) * n).reshape(len(cores), n)
-        return np.argwhere(count >= self.need[None, :])
+        rows, items = self.runs.find(_run_keys(codes("".join(cut)).reshape(-1, w)))
+        pairs, count = np.unique(owner[rows] * n + items, return_counts=True)
+        pairs = pairs[count >= self.need[pairs % n]]
+        return np.stack([pairs // n, pairs % n], axis=1)
 
     def verify(self, cores: list[str], pairs: np.ndarray) -> np.ndarray:
         """Those of the pairs (document, item) whose passages cover half of the item."""
-        width, n, size = self.width, len(self.ids), np.int64(len(self.item_of) + 2)
+        width, n, size = self.passage, len(self.ids), np.int64(len(self.item_of) + 2)
         wanted = np.unique(pairs[:, 0])
         gap = "\x00" * width  # no passage crosses from one document to the next
         where = np.repeat(wanted, [len(cores[d]) + width for d in wanted])
@@ -189,23 +158,31 @@ class ItemIndex:
         if len(doc) > 1:  # passages of an item may overlap
             same = (doc[1:] == doc[:-1]) & (item[1:] == item[:-1])
             begin[1:] = np.where(same, np.maximum(begin[1:], end[:-1]), begin[1:])
-        covered = np.bincount(doc * n + item, weights=np.maximum(0, end - begin), minlength=int(wanted.max() + 1) * n)
-        return pairs[covered[pairs[:, 0] * n + pairs[:, 1]] * 2 >= np.maximum(1, self.length[pairs[:, 1]])]
+        held, place = np.unique(doc * n + item, return_inverse=True)
+        covered = np.bincount(place, weights=np.maximum(0, end - begin), minlength=len(held))
+        held = held[covered * 2 >= self.length[held % n]]
+        return pairs[np.isin(pairs[:, 0] * n + pairs[:, 1], held)]
 
     def search(self, cores: list[str]) -> np.ndarray:
         """Rows (document, item id)."""
-        plain = np.array([sum(map(len, _latin(c))) if self.script == "en" else len(c) for c in cores])
-        near = np.flatnonzero(plain >= max(1, self.fewest))
-        if not near.size:
-            return np.zeros((0, 2), np.int64)
-        pairs = self.candidates([cores[i] for i in near])
+        pairs = self.candidates(cores)
         if len(pairs):
-            pairs = self.verify([cores[i] for i in near], pairs)
-        return np.stack([near[pairs[:, 0]], self.ids[pairs[:, 1]]], axis=1)
+            pairs = self.verify(cores, pairs)
+        return np.stack([pairs[:, 0], self.ids[pairs[:, 1]]], axis=1)
 
 
-def _latin(text: str) -> list[str]:
-    return _LETTERS.findall(text)
+def item_indexes(block: Iterable[tuple[int, str, str]]) -> list[ItemIndex]:
+    """Indexes of ``(item_id, script, text)``, one for each script and size of passages."""
+    groups: dict[tuple[str, int], list[tuple[int, str, list[int]]]] = {}
+    for i, script, text in block:
+        c = core(text)
+        words = word_sizes(text, c) if script == "en" else []
+        passage = PASSAGE[script]
+        if script == "en":  # the core characters of any 8 words in a row
+            passage = min([passage, *(sum(words[k : k + PASSAGE_WORDS]) for k in range(len(words) - PASSAGE_WORDS + 1))])
+        if len(c) >= passage and (script != "en" or len(words) >= PASSAGE_WORDS):
+            groups.setdefault((script, passage), []).append((i, c, words))
+    return [ItemIndex(script, passage, rows) for (script, passage), rows in sorted(groups.items())]
 
 
 #: The index of a worker, by the query it was built for.
@@ -248,14 +225,12 @@ def _searcher(held):
         index = _INDEX.get(number)
         if index is None:
             _INDEX.clear()
-            index = _INDEX[number] = [
-                ItemIndex(script, [(i, t) for i, s, t in held.value if s == script and core(t)]) for script in ("zh", "en")
-            ]
+            index = _INDEX[number] = item_indexes(held.value)
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for start, end in slices(texts):
                 ids, cores = batch.column(0).slice(start, end - start), [core(t) for t in texts[start:end]]
-                rows = np.concatenate([x.search(cores) for x in index if len(x.ids)] or [np.zeros((0, 2), np.int64)])
+                rows = np.concatenate([x.search(cores) for x in index] or [np.zeros((0, 2), np.int64)])
                 yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows[:, 0])), pa.array(rows[:, 1], pa.int64())], names=["doc_id", "item_id"])
 
     return search

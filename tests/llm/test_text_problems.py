@@ -203,6 +203,22 @@ def test_leaks_equal_brute_force(spark):
     assert leak.leaked_items(df.limit(0), q).count() == 0 and leak.leaked_items(df, q.limit(0)).count() == 0
 
 
+def test_leaks_of_repetitive_items(spark):
+    """An item that repeats a phrase is held by a document that has the phrase once, wherever runs are read."""
+    rng = random.Random(21)
+    zh = lambda n: "".join(rng.choice("投保人应当核对编号并注明金额由双方各执一份理赔专员复查保险单自签收次日零时起") for _ in range(n))
+    items, documents = [], []
+    for k, times in enumerate([1, 2, 3, 6, 10, 20, 20, 40]):
+        phrase = zh(16 + k)
+        items.append((k, "zh", phrase * times + zh(len(phrase) * times // 3)))
+        documents += [(100 * k + at, zh(at) + phrase + zh(7)) for at in range(12)]  # once, at every offset
+    items += [(20, "en", "a b c d e f g h " * 5), (21, "en", "it is as it is to me as it is to us all"), (22, "en", "only five words in this"), (23, "zh", "投保人" * 4)]
+    documents += [(2_000 + k, zh(k) + " a b c d e f g h. " + zh(9)) for k in range(5)] + [(3_000 + k, f"{zh(k)} it is as it is to me as it is to us. Only five words in this") for k in range(5)]
+    got = leak.leaked_items(spark.createDataFrame(documents, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, lang string, text string"))
+    want = brute_leaks(documents, items)
+    assert {tuple(r) for r in got.collect()} == want and {i for _, i in want} == set(range(8)) | {20, 21}
+
+
 def test_leaks_of_items_with_signs(spark):
     """Signs that folding makes letters of, decomposed letters and letters that join across a space lose no item."""
     rng = random.Random(12)
