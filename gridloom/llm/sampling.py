@@ -10,17 +10,17 @@ _RANGE = 1 << 30
 SAMPLE_CHARS = 20_000
 
 
-def hash_sample(df: DataFrame, key: str, size: int, text: str | None = None) -> DataFrame:
-    """About ``size`` rows chosen by the hash of ``key``, at most twice as many; all rows if there are no more.
+def hash_sample(df: DataFrame, key: str, size: int, text: str) -> DataFrame:
+    """Rows of about ``size`` keys chosen by the hash of ``key``; all rows if there are no more.
 
-    One count and one filtered scan; nothing is sorted or gathered. With
-    ``text``, rows whose text is over ``SAMPLE_CHARS`` are not taken, which
-    bounds what a driver holds of a sample.
+    One count and one filtered scan, in as many tasks as the table has; nothing
+    is sorted or gathered. Rows without a key and texts over ``SAMPLE_CHARS``
+    are not taken. A key that many rows repeat comes with all of them: callers
+    reduce the rows first and keep each key once, so that what reaches the
+    driver is about ``size`` narrow rows.
     """
     n = df.count()
-    if text is not None:
-        df = df.where(F.length(text) <= SAMPLE_CHARS)
+    df = df.where(F.col(key).isNotNull() & (F.length(text) <= SAMPLE_CHARS))
     if n <= size:
         return df
-    share = int(_RANGE * (size / n))
-    return df.where(F.pmod(F.xxhash64(key), F.lit(_RANGE)) < share).limit(2 * size)
+    return df.where(F.pmod(F.xxhash64(key), F.lit(_RANGE)) < int(_RANGE * (size / n)))

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from gridloom.llm import leak, markup, quality, repetition, text_core, tokenize_bpe, truncation
@@ -75,22 +76,72 @@ def test_repeated_share_equals_brute_force():
     texts = ["", "a", "ab" * 30, "甲" * 19, "甲" * 20, "甲" * 21] + ["".join(rng.choice("甲乙丙") for _ in range(rng.randrange(400))) for _ in range(40)]
     texts += [t + "x" + t for t in texts[-5:]]
     assert repetition.repeated_shares(texts) == pytest.approx([brute_share(t) for t in texts])
-    assert [repetition.is_case(t) for t in texts] == [bool(t) and brute_share(t) * 3 >= 1 - 1e-12 for t in texts]
+    case = [bool(t) and brute_share(t) * 3 >= 1 - 1e-12 for t in texts]
+    score, cutoff, rejected = repetition.judged(texts, {})
+    assert rejected.tolist() == case and np.isnan(cutoff).all()
+    assert min(s for s, c in zip(score, case) if c) >= repetition.FLOOR - 1e-12
+
+
+def test_no_case_scores_below_the_floor():
+    """Cases at the limit, made of passages as short as they may be, and loops of any period."""
+    rng = random.Random(11)
+    say = lambda n: "".join(chr(0x4E00 + rng.randrange(5_000)) for _ in range(n))
+    texts = []
+    for _ in range(60):
+        parts = [say(20) for _ in range(rng.randrange(2, 30))]
+        texts.append("".join(p + say(rng.randrange(0, 5)) for p in parts) + say(rng.randrange(0, 10)) + "".join(p + say(rng.randrange(1, 25)) for p in rng.sample(parts, len(parts))))
+    texts += [say(k) * 40 for k in range(1, 30)]
+    share, score = np.array([brute_share(t) for t in texts]), repetition.sketch_scores(texts)
+    case = share * 3 >= 1 - 1e-12
+    assert 40 < case.sum() < len(texts) and (score[case] >= repetition.FLOOR - 1e-12).all()
+    assert repetition.judged(texts, {})[2].tolist() == case.tolist()
 
 
 def test_cutoffs():
     assert repetition.binomial_upper(0, 100, 0.05) == pytest.approx(1 - 0.05 ** (1 / 100), abs=1e-9)
     assert repetition.binomial_upper(5, 5, 0.05) == 1.0
-    clean = [("a", 0.01, False)] * 2_000 + [("a", 0.12, False)] * 60 + [("a", 0.9, True)] * 10 + [("b", 0.0, False)] * 3
-    got = repetition.select_cutoffs(clean)
-    assert got["a"][0] == 0.15 and got["b"][0] == repetition.CASE  # too few rows in b to certify anything
+    rows = [("a", 0.01, False)] * 2_000 + [("a", 0.37, False)] * 60 + [("a", 0.9, True)] * 10 + [("b", 0.0, False)] * 3 + [("c", 0.95, True)]
+    got = repetition.select_cutoffs(rows)
+    assert got["a"][:3] == (0.4, 2_060, 0) and got["a"][3] <= repetition.ALPHA
+    assert got["b"][0] is None and got["c"][0] is None  # too few rows to certify anything
     assert repetition.select_cutoffs([]) == {}
 
 
+def test_cutoffs_decide():
+    """Above the cutoff the score alone rejects, below it the exact share does."""
+    rng = random.Random(2)
+    say = lambda n: "".join(chr(0x4E00 + rng.randrange(5_000)) for _ in range(n))
+    parts = [say(15) for _ in range(30)]
+    near = "".join(p + say(1) for p in parts) + "".join(p + say(1) for p in parts)  # repeats 15 characters at a time: no case
+    assert brute_share(near) == 0 and repetition.sketch_scores([near])[0] > 0.1
+    again = "".join(p + say(1) for _ in range(6) for p in parts)
+    assert brute_share(again) == 0 and not repetition.judged([again], {})[2][0]
+    assert repetition.judged([again], {repetition.stratum(again): 0.2})[2][0]
+
+
+def test_holdout_stays_within_its_risk(spark):
+    """False rejections of rows that the cutoffs were not chosen on."""
+    rng = random.Random(13)
+    say = lambda n: "".join(chr(0x4E00 + rng.randrange(5_000)) for _ in range(n))
+    rows = []
+    for i in range(3_000):
+        t = say(rng.randrange(100, 300))
+        rows.append((i, t + t[: len(t) * rng.randrange(0, 4) // 6] + say(3)))
+    df = spark.createDataFrame(rows, "row_id long, ground_truth string")
+    cutoffs = {k: v[0] for k, v in repetition.holdout_cutoffs(df.where("row_id < 2000")).items() if v[0] is not None}
+    assert cutoffs
+    held = [t for i, t in rows if i >= 2_000]
+    case = np.array([brute_share(t) * 3 >= 1 - 1e-12 for t in held])
+    rejected = repetition.judged(held, cutoffs)[2]
+    assert rejected[case].all() and rejected[~case].mean() <= repetition.ALPHA
+
+
 def test_repetition(spark, cells):
     assert {r["row_id"] for r in repetition.repetitive_rows(cells).collect()} == {203}
     assert repetition.repetition(cells).count() == 104 and repetition.repetition(cells.limit(0)).count() == 0
     assert repetition.cutoff_table(spark, cells.limit(0)).count() == 0
+    huge = "据此，保全柜台应当核对编号。" * 60_000
+    assert np.isnan(repetition.sketch_scores([huge, "短"])).all() and repetition.judged([huge, "短"], {})[2].tolist() == [True, False]
     shares = {r["row_id"]: r["share"] for r in repetition.repetition(cells).collect()}
     assert shares[200] == shares[201] == shares[202] == 0.0
 
