@@ -270,6 +270,10 @@ class LineModel:
 
     def fit(self, texts: list[str]) -> LineModel:
         features, _, counts = self.describe(texts)
+        return self.train(features, counts)
+
+    def train(self, features: list[tuple[int, ...]], counts: np.ndarray) -> LineModel:
+        """Hard expectation-maximisation over the lines of documents, one after another."""
         seeds = np.array([certain(f) for f in features] or [0])
         x = np.array(features or [(0,) * len(CARDS)])
         sure = np.flatnonzero(seeds >= 0)
@@ -310,9 +314,19 @@ def all_common_words(common_words: DataFrame) -> list[str]:
 
 
 def fitted_model(documents: DataFrame, common_words: DataFrame) -> LineModel:
-    """Fit on about ``SAMPLE`` documents chosen by the hash of their id."""
-    rows = sorted(tuple(r) for r in hash_sample(documents, "doc_id", SAMPLE, "text").select("doc_id", "text").where("text is not null and doc_id is not null").toLocalIterator())
-    return LineModel(all_common_words(common_words)).fit([t for _, t in rows if t.strip()])
+    """Fit on about ``SAMPLE`` documents chosen by the hash of their id; the driver sees the features of their lines only."""
+    ship_package(documents.sparkSession)
+    model = LineModel(all_common_words(common_words))
+
+    def reduce_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines = [np.array(model.describe([t])[0], np.int8).tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lines, pa.binary())], names=["doc_id", "lines"])
+
+    sample = hash_sample(documents.select("doc_id", "text"), "doc_id", SAMPLE, "text").mapInArrow(reduce_, "doc_id bigint, lines binary").dropDuplicates(["doc_id"])
+    rows = sorted((r[0], bytes(r[1])) for r in sample.toLocalIterator())
+    seen = [np.frombuffer(lines, np.int8).reshape(-1, len(CARDS)) for _, lines in rows]
+    return model.train([tuple(f) for x in seen for f in x.tolist()], np.array([len(x) for x in seen], np.int64))
 
 
 def line_shares(documents: DataFrame, common_words: DataFrame) -> DataFrame:

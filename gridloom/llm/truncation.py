@@ -34,6 +34,8 @@ SAMPLE, CUTS, BITS = 6_000, 3, 16
 #: How often a length or a closing line must occur at least, and the rows for which a closing line must occur once.
 #: The last is the same share of a table of any size.
 LEAST, ROWS_A_CLOSER = 5, 10_000
+#: Characters of a closing line at most: a date, a page mark or an end mark, not a sentence.
+CLOSING = 24
 #: A limit has so many times the mean count of the lengths up to ``AROUND`` away; those up to ``BESIDE`` away are left
 #: out, since characters of several bytes and marks put behind a cut spread it. By chance a table has ``CHANCE`` such.
 TIMES, AROUND, BESIDE, CHANCE = 4, 32, 4, 0.01
@@ -42,7 +44,7 @@ _DATE = r"^9(年9月9日|([-/.])9\2 ?9)$"
 _ODD_CLOSER = r"[。；;，,|.:：、]$|^[-*·#=]|  |9 9|[&<>|\\]"
 
 _END = "。！？!?.…；;：:"
-_CLOSED = re.compile(r"[。！？.!?][\s\"'”’」』）)*`_]*(?:\{\{[^{}]*\}\}|\\footnote\{[^{}]*\}|<!--[^<>]*-->|</[a-z0-9]+>|[\s*`_）)\]])*$")
+_CLOSED = re.compile(r"[。！？.!?][\s\"'”’」』）)*`_]*+(?:\{\{[^{}]*+\}\}|\\footnote\{[^{}]*+\}|<!--[^<>]*+(?<=--)>|</[a-z0-9]++>|[\s*`_）)\]])*+$")
 _MARK = re.compile(r"(?:\s*+(?:\[[^\[\]\n]{1,24}\]|[（(<【][^（）()<>【】\n]{1,12}[)）>】]|\.{3,}+|…++|~++|—++|-{2,}+|\ufffd++))++\s*+$")
 _TOKEN = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)(?:\s[^<>]*)?(/?)>")
 _VOID = frozenset(("br", "hr", "img", "input", "meta", "link", "col"))
@@ -91,12 +93,22 @@ def cells(line: str) -> tuple[str, int]:
     return ("gap", len(parts)) if len(parts) > 1 else ("", 0)
 
 
+def _trailing_mark(body: str) -> re.Match | None:
+    """The marks that stand after the end, however many; sought from the end in growing parts."""
+    size = 80
+    while True:
+        near = max(0, len(body) - size)
+        mark = _MARK.search(body, near)
+        if not near or mark is None or mark.start() > near:
+            return mark
+        size *= 4
+
+
 def features(text: str, lengths: frozenset[int], closers: frozenset[str]) -> list[str]:
     body = text.rstrip()
     out = [f"bytes:{len(text.encode('utf-8', 'replace')) in lengths}", f"chars:{len(text) in lengths}", f"trail:{len(text) > len(body)}"]
     out.append("over" if "\ufffd" in body[-2:] else "whole")
-    near = max(0, len(body) - 80)
-    mark = _MARK.search(body, near)
+    mark = _trailing_mark(body)
     lines = body.rsplit("\n", 1)
     closed_by = ""
     for _ in range(2):
@@ -115,17 +127,17 @@ def features(text: str, lengths: frozenset[int], closers: frozenset[str]) -> lis
     last = lines[-1].strip()
     closer = "+" if closed_by else ""
     tail = shape(body[-8:])
-    done = _CLOSED.search(body[-160:]) is not None
+    done = _CLOSED.search(body) is not None
     out.append(f"done:{done}{closer}")
     out += [f"t{n}{closer}:{tail[-n:]}" for n in (1, 2, 3, 4)]
     if body:
         out.append(f"ch{closer}:{body[-1]}" if not body[-1].isalnum() else "ch:alnum" + closer)
     stack = open_tags(body)
     out.append(f"stack{closer}:{'/'.join(stack[-2:])}")
-    cut_tag = re.search(r"<[^<>\n]{0,60}$", last)
-    if cut_tag:
-        out.append("opentag:" + str(bool(re.match(r"<[/a-zA-Z!]", cut_tag.group()))))
-    part = body[-600:].rsplit("\n\n", 1)[-1]
+    opened = last.rfind("<")
+    if opened > last.rfind(">"):
+        out.append("opentag:" + str(bool(re.match(r"<[/a-zA-Z!]", last[opened:]))))
+    part = body.rsplit("\n\n", 1)[-1]
     out.append(f"bold:{part.count('**') % 2}{done}")
     out.append(f"tick:{part.count('`') % 2 if '```' not in part else 2}{done}")
     out.append(f"fence:{body.count('```') % 2}{closer}")
@@ -145,7 +157,7 @@ def features(text: str, lengths: frozenset[int], closers: frozenset[str]) -> lis
         out.append(f"env{closer}:{envs[-1]}{done}")
     if body.count("{|") > body.count("|}"):
         out.append(f"wikitable{closer}")
-    if body.endswith(("</table>", "|}", "```")) or _BLOCK_END.search(body[-40:]):
+    if body.endswith(("</table>", "|}", "```")) or _BLOCK_END.search(last):
         out.append(f"block{closer}:{len(stack)}{len(envs)}{body.count('```') % 2}")
     kind, n = cells(last)
     above = lines[0].rstrip("\n").rsplit("\n", 2)[-2:] if len(lines) > 1 else []
@@ -176,7 +188,7 @@ def ends_well(text: str, closers: frozenset[str]) -> bool:
             return True
     if open_tags(body) or body.count("```") % 2 or body.count("{|") > body.count("|}") or len(re.findall(r"\\begin\{", body)) != len(re.findall(r"\\end\{", body)):
         return False
-    part = body[-600:].rsplit("\n\n", 1)[-1]
+    part = body.rsplit("\n\n", 1)[-1]
     if part.count("**") % 2 or part.count("`") % 2:
         return False
     if body.endswith(("</table>", "|}", "```")) or re.search(r"\\end\{[a-z]+\}$", body):
@@ -187,17 +199,22 @@ def ends_well(text: str, closers: frozenset[str]) -> bool:
         return above == (kind, n) and (kind == "gap" or lines[-1].endswith("|"))
     if _BULLET.match(lines[-1]) and lines[-1].endswith(("；", ";")):
         return True
-    return _CLOSED.search(body[-160:]) is not None
+    return _CLOSED.search(body) is not None
 
 
-def _rows(features_of: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+def hashed(features_: list[str]) -> list[int]:
     mask = (1 << BITS) - 1
-    column = np.array([zlib.crc32(f.encode("utf-8", "replace")) & mask for fs in features_of for f in fs], np.int64)
-    row = np.repeat(np.arange(len(features_of)), [len(f) for f in features_of])
-    return row, column
+    return [zlib.crc32(f.encode("utf-8", "replace")) & mask for f in features_]
+
+
+def _flat(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Row and hashed feature of every entry."""
+    return np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.array([c for r in rows for c in r], np.int64)
 
 
 class Classifier:
+    """Hashed logistic regression over ``features``; ``lengths`` and ``closers`` are what the corpus piles up at."""
+
     def __init__(self, lengths: frozenset[int], closers: frozenset[str]):
         self.lengths, self.closers = lengths, closers
         self.weight, self.bias = np.zeros(1 << BITS), 0.0
@@ -205,41 +222,48 @@ class Classifier:
     def score(self, texts: list[str]) -> np.ndarray:
         if not texts:
             return np.zeros(0)
-        row, column = _rows([features(t, self.lengths, self.closers) for t in texts])
+        row, column = _flat([hashed(features(t, self.lengths, self.closers)) for t in texts])
         z = np.bincount(row, weights=self.weight[column], minlength=len(texts)) + self.bias
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
+    def examples(self, text: str) -> tuple[list[list[int]], list[float]]:
+        """A text that ends beyond doubt (0) and cuts of it (1) as hashed features; nothing of other texts.
+
+        Cuts are drawn from the text itself, so they are the same wherever and whenever it is read.
+        """
+        if not text or not ends_well(text, self.closers):
+            return [], []
+        rng = np.random.default_rng(zlib.crc32(text.encode("utf-8", "replace")))
+        body, pieces = text.rstrip(), [text]
+        fits = [n for n in sorted(self.lengths) if n < len(body) - 1]
+        for k in range(CUTS if len(body) >= 24 else 0):
+            at = int(rng.choice(fits)) if fits and k == 0 else int(rng.integers(max(8, len(body) // 5), len(body) - 1))
+            if k == 2:  # breaks near the end of the last block
+                at = len(body) - int(rng.integers(1, min(60, len(body) - 8)))
+            piece = body[:at]
+            if ends_well(piece, self.closers) or masked(piece.rsplit("\n", 1)[-1]) in self.closers or not piece.strip():
+                continue  # the cut fell where a sentence ends
+            draw = rng.random()
+            if draw < 0.08:
+                piece += str(rng.choice([" [truncated]", "…", "...", "……", " [...]", "（未完）", "——"]))
+            elif draw < 0.12:
+                piece += "\n"
+            elif draw < 0.16 and self.closers:
+                piece += "\n\n" + str(rng.choice(sorted(self.closers))).replace("9", "12")
+            elif draw < 0.22:
+                piece += "\ufffd"
+            pieces.append(piece)
+        return [hashed(features(p, self.lengths, self.closers)) for p in pieces], [0.0] + [1.0] * (len(pieces) - 1)
+
     def fit(self, texts: list[str]) -> Classifier:
-        rng = np.random.default_rng(7)
-        intact = [t for t in texts if ends_well(t, self.closers)]
-        x, y = [features(t, self.lengths, self.closers) for t in intact], [0.0] * len(intact)
-        limits = sorted(self.lengths)
-        for t in intact:
-            body = t.rstrip()
-            for k in range(CUTS):
-                if len(body) < 24:
-                    break
-                fits = [n for n in limits if n < len(body) - 1]
-                at = int(rng.choice(fits)) if fits and k == 0 else int(rng.integers(max(8, len(body) // 5), len(body) - 1))
-                if k == 2:  # breaks near the end of the last block
-                    at = len(body) - int(rng.integers(1, min(60, len(body) - 8)))
-                piece = body[:at]
-                if ends_well(piece, self.closers) or masked(piece.rsplit("\n", 1)[-1]) in self.closers or not piece.strip():
-                    continue  # the cut fell where a sentence ends
-                draw = rng.random()
-                if draw < 0.08:
-                    piece += str(rng.choice([" [truncated]", "…", "...", "……", " [...]", "（未完）", "——"]))
-                elif draw < 0.12:
-                    piece += "\n"
-                elif draw < 0.16 and self.closers:
-                    piece += "\n\n" + str(rng.choice(sorted(self.closers))).replace("9", "12")
-                elif draw < 0.22:
-                    piece += "\ufffd"
-                x.append(features(piece, self.lengths, self.closers))
-                y.append(1.0)
+        made = [self.examples(t) for t in texts]
+        return self.train([r for rows, _ in made for r in rows], [y for _, labels in made for y in labels])
+
+    def train(self, x: list[list[int]], y: list[float]) -> Classifier:
+        """Both kinds weigh the same; full steps by moments of the gradient."""
         if not any(y):
             return self
-        row, column = _rows(x)
+        row, column = _flat(x)
         target, n = np.array(y), len(y)
         share = np.where(target == 1, n / 2 / target.sum(), n / 2 / max(1.0, n - target.sum()))
         used, place = np.unique(column, return_inverse=True)
@@ -313,18 +337,31 @@ def poisson_tail(n: int, mean: float) -> float:
 
 
 def fitted_classifier(cells_: DataFrame, text: str = "ground_truth", key: str = "row_id") -> Classifier:
-    """Corpus counts over all rows, then the fit on a bounded sample."""
-    tail = F.regexp_extract(F.rtrim(F.regexp_replace(F.substring(F.col(text), -160, 160), r"\s+$", "")), r"\n([^\n]{1,24})$", 1)
-    closing = F.trim(F.regexp_replace(tail, r"[0-9]+", "9"))
+    """Corpus counts over all rows, then the fit on a bounded sample.
+
+    The sample is reduced to hashed features where it is read; the driver sees no text.
+    """
+    ship_package(cells_.sparkSession)
+    whole = F.rtrim(F.col(text), F.lit(" \t\n\x0b\f\r"))
+    last = F.substring_index(whole, "\n", -1)
+    closing = F.when((F.length(last) <= CLOSING) & (F.length(last) < F.length(whole)), F.trim(F.regexp_replace(last, r"[0-9]+", "9"))).otherwise("")
     # Each key once, after texts are reduced to what is counted.
     held = cells_.where(F.length(F.trim(text)) > 0)
     narrow = held.select(key, F.length(text).alias("chars"), F.octet_length(text).alias("bytes"), closing.alias("closing")).dropDuplicates([key])
     # A text whose characters are bytes has one length.
     lengths = length_limits(narrow.select(F.explode(F.array_distinct(F.array("chars", "bytes"))).alias("length")))
-    n_rows = narrow.count()
-    marks = closing_lines(held, narrow, n_rows, text)
-    rows = sorted(tuple(r) for r in hash_sample(held.select(key, text), key, SAMPLE, text).where(F.col(key).isNotNull()).dropDuplicates([key]).toLocalIterator())
-    return Classifier(lengths, marks).fit([t for _, t in rows])
+    model = Classifier(lengths, closing_lines(held, narrow, narrow.count(), text))
+
+    def reduce_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [model.examples(t) for t in batch.column(1).to_pylist()]
+            columns = [pa.array([m[0] for m in made], pa.list_(pa.list_(pa.int32()))), pa.array([m[1] for m in made], pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=[key, "x", "y"])
+
+    kind = cells_.schema[key].dataType.simpleString()
+    sample = hash_sample(held.select(key, text), key, SAMPLE, text).mapInArrow(reduce_, f"`{key}` {kind}, x array<array<int>>, y array<double>").dropDuplicates([key])
+    rows = sorted(tuple(r) for r in sample.toLocalIterator())  # about SAMPLE rows of numbers
+    return model.train([x for r in rows for x in r[1]], [y for r in rows for y in r[2]])
 
 
 def cut_scores(cells_: DataFrame, text: str = "ground_truth", key: str = "row_id") -> DataFrame:

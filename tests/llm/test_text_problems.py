@@ -30,6 +30,20 @@ def test_truncation(cells):
     assert truncation.cut_rows(empty).count() == 0 and truncation.cut_report(empty).count() == 0
 
 
+@pytest.mark.parametrize("text", ["完成。<!-- p9 --></p>", "完成。</b>\n\n第 9 页", "完成。" + "\\footnote{" + "另有约定" * 90 + "}", "**done.)**", "完成。" + "</b>" * 90])
+def test_whole_ends(text):
+    assert truncation.ends_well(text, frozenset(("第 9 页",)))
+
+
+def test_open_marks_far_from_the_end():
+    """What was opened long before the end still counts, and a row of marks behind the end is seen whole."""
+    rest = "保险单的编号" * 300 + "。"
+    assert not truncation.ends_well("前文。\n\n**" + rest, frozenset()) and truncation.ends_well("前文。\n\n**注**" + rest, frozenset())
+    features = lambda t: truncation.features(t, frozenset(), frozenset())
+    assert "bold:1True" in features("前文。\n\n**" + rest) and "math:1True" in features("前文。\n\n$x" + rest)
+    assert "opentag:True" in features("见 <a href=" + "x" * 400) and "mark" in features("前文" + "……" * 200)
+
+
 def test_truncation_held_out():
     rng = random.Random(5)
     make = lambda: "".join(rng.choice("投保人应当核对编号并注明金额由双方各执一份理赔专员复查保险单") + ("，" if rng.random() < 0.1 else "") for _ in range(rng.randrange(60, 200))) + "。"
