@@ -2,13 +2,19 @@
 
 The boxes of a slice are reduced to the whole pixels a cut must avoid; for each
 first pixel only the farthest last one is kept, so what is gathered for a slice
-is bounded by its height in pixels, however many boxes it has. Cuts are
-balanced: for the least number of pieces, targets lie at equal lengths and each
-is moved to the widest free gap nearby; while a piece would exceed the limit a
-piece is added. Going as far as the limit allows at every cut decides exactly
-whether clean cuts exist, and gives them where balancing finds none. Otherwise
-cuts are ``forced``: clean where a free pixel is in reach, else at the pixel
-that crosses fewest boxes' free edges, the last one in reach.
+is bounded by its height in pixels, however many boxes it has.
+
+All cuts are balanced: for the least number of pieces that fit the rest, the
+next target lies at an equal length and moves to the strongest free gap nearby
+(the widest, less half its distance), or else to a free gap anywhere in reach.
+A target that moved back may leave too much for the pieces planned; then one is
+added and the rest is balanced anew. Where no free pixel is in reach, the cut
+goes through the fewest boxes, as near to the target as possible.
+
+Whether clean cuts exist at all is decided by going as far as the limit allows
+at every cut, which is exact: a cut that goes farther can only reach farther.
+For the same reason any free pixel has a clean continuation if there is one, so
+the balanced cuts of such a slice are all clean.
 
 ``y0`` or ``y1`` missing follows from ``height``; with both missing a slice has
 no place on the page and is left out, as are slices of an unknown ``kind`` or
@@ -28,6 +34,10 @@ from pyspark.sql import functions as F
 from gridloom.session import ship_package
 
 
+#: Pixels from which a gap is as strong as any wider one.
+WIDE = 60
+
+
 def merged(intervals: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for low, high in sorted(intervals):
@@ -42,6 +52,7 @@ class _Free:
     """Pixels at which no box is crossed."""
 
     def __init__(self, blocked: list[tuple[int, int]]):
+        self.boxes = sorted(blocked)
         self.blocked = merged(blocked)
         self.lows = [b[0] for b in self.blocked]
 
@@ -70,64 +81,70 @@ class _Free:
         return out
 
 
-def farthest(y0: int, y1: int, limit: int, overlap: int, free: _Free) -> list[int] | None:
-    """Clean cuts that each go as far as they can, or None if there are none."""
-    cuts, at = [], y0
-    while y1 - max(y0, at - overlap if cuts else y0) > limit:
-        to = free.last_upto(min(max(y0, at - overlap if cuts else y0) + limit, y1 - 1))
+    def least_crossed(self, low: int, high: int, target: float) -> int:
+        """The pixel of [low, high] that the fewest boxes hold, the nearest to ``target`` of several."""
+        turns = {low: 0, high + 1: 0}
+        for a, b in self.boxes[: bisect.bisect_right(self.boxes, (high, 1 << 62))]:
+            if b >= low:
+                turns[max(a, low)] = turns.get(max(a, low), 0) + 1
+                turns[min(b, high) + 1] = turns.get(min(b, high) + 1, 0) - 1
+        at, held, best = sorted(turns), 0, None
+        for begin, end in zip(at, at[1:]):
+            held += turns[begin]
+            near = int(min(max(target, begin), end - 1))
+            if best is None or (held, abs(near - target)) < best[:2]:
+                best = (held, abs(near - target), near)
+        return best[2]
+
+
+def clean_cuts_exist(y0: int, y1: int, limit: int, overlap: int, free: _Free) -> bool:
+    """Whether clean cuts that each go as far as they can reach the end."""
+    at = start = y0
+    while y1 - start > limit:
+        to = free.last_upto(min(start + limit, y1 - 1))
         if to <= at:
-            return None
-        cuts.append(to)
-        at = to
-    return cuts
-
-
-def _fits(y0: int, y1: int, limit: int, overlap: int, cuts: list[int]) -> bool:
-    start, at = y0, y0
-    for c in [*cuts, y1]:
-        if c <= at or c - start > limit:
             return False
-        at, start = c, max(y0, c - overlap)
+        at, start = to, max(y0, to - overlap)
     return True
 
 
-def balanced(y0: int, y1: int, limit: int, overlap: int, free: _Free, most: int) -> list[int] | None:
-    """Clean cuts near equal lengths with as few pieces as fit, up to ``most`` pieces."""
-    extent = y1 - y0
-    least = max(2, -(-(extent - overlap) // (limit - overlap)))
-    for n in range(least, most + 1):
-        length = (extent + (n - 1) * overlap) / n
-        reach = max(1, int((length - overlap) / 3))
-        cuts: list[int] = []
-        for k in range(1, n):
-            target = y0 + length + (k - 1) * (length - overlap)
-            gaps = free.gaps(max(y0 + 1, int(target) - reach), min(y1 - 1, int(target) + reach))
-            if not gaps:
-                break
-            low, high = max(gaps, key=lambda g: (min(g[1] - g[0], 60) - 0.5 * max(g[0] - target, target - g[1], 0.0), -g[0]))
-            middle = (low + high) // 2
-            cuts.append(middle if high - low < 120 else int(min(max(target, low + 30), high - 30)))
-        if len(cuts) == n - 1 and _fits(y0, y1, limit, overlap, cuts):
-            return cuts
-    return None
+def _strongest(free: _Free, low: int, high: int, target: float) -> int | None:
+    """A pixel of [low, high] in the gap that is widest for its distance from the target, away from the gap's edges."""
+    gaps = [g for g in free.gaps(low - WIDE, high + WIDE) if g[0] <= high and g[1] >= low]
+    if not gaps:
+        return None
+    first, last = max(gaps, key=lambda g: (min(g[1] - g[0], WIDE) - 0.5 * max(g[0] - target, target - g[1], 0.0), -g[0]))
+    edge = min(WIDE // 2, (last - first) // 2)
+    return int(min(max(round(target), first + edge, low), max(last - edge, low), high))
 
 
-def plan(y0: int, y1: int, limit: int, overlap: int, blocked: list[tuple[int, int]]) -> tuple[str, list[int]]:
-    """``(clean or forced, cuts)`` of an extent over the limit."""
-    overlap = overlap if 0 <= overlap < limit else 0
-    free = _Free(blocked)
-    exact = farthest(y0, y1, limit, overlap, free)
-    if exact is not None:
-        return "clean", balanced(y0, y1, limit, overlap, free, len(exact) + 1) or exact
+def balanced(y0: int, y1: int, limit: int, overlap: int, free: _Free) -> list[int]:
+    """Cuts near equal lengths, as few as fit."""
     cuts: list[int] = []
     at = start = y0
     while y1 - start > limit:
-        to = min(start + limit, y1 - 1)
-        clean = free.last_upto(to)
-        at = clean if clean > at + (limit - overlap) // 4 else to
+        rest = y1 - start
+        n = -(-(rest - overlap) // (limit - overlap))  # the pieces left at least
+        length = (rest + (n - 1) * overlap) / n
+        target, last = start + length, min(start + limit, y1 - 1)
+        near = max(1, int((length - overlap) / 3))
+        least = min(at + 1 + (limit - overlap) // 4, last)  # no slivers where that can be helped
+        to = _strongest(free, max(least, int(target) - near), min(last, int(target) + near), target)
+        if to is None:
+            to = _strongest(free, least, last, target)
+        if to is None and free.last_upto(last) > at:
+            to = free.last_upto(last)
+        at = free.least_crossed(least, last, target) if to is None else to
         cuts.append(at)
         start = max(y0, at - overlap)
-    return "forced", cuts
+    return cuts
+
+
+def plan(y0: int, y1: int, limit: int, overlap: int, blocked: list[tuple[int, int]]) -> tuple[str, list[int]]:
+    """``(clean or forced, cuts)`` of an extent over the limit."""
+    overlap = overlap if 0 <= overlap < limit else 0
+    free = _Free(blocked)
+    return "clean" if clean_cuts_exist(y0, y1, limit, overlap, free) else "forced", balanced(y0, y1, limit, overlap, free)
 
 
 def oversized(slices: DataFrame, specs: DataFrame) -> DataFrame:

@@ -89,9 +89,24 @@ def test_plan_equals_brute_force():
         assert (how == "clean") == brute_clean(y0, y1, limit, over, blocked)
         starts = [y0, *(max(y0, c - over) for c in cuts)]
         assert all(0 < e - s <= limit for s, e in zip(starts, [*cuts, y1])) and cuts == sorted(set(cuts))
+        bad = {c for a, b in blocked for c in range(a, b + 1)}
         if how == "clean":
-            bad = {c for a, b in blocked for c in range(a, b + 1)}
             assert not bad & set(cuts)
+        for at, start, c in zip([y0, *cuts], starts, cuts):  # a cut through boxes only where no free pixel is in reach
+            assert c not in bad or all(p in bad for p in range(at + 1, min(start + limit, y1 - 1) + 1))
+
+
+def test_cuts_are_balanced():
+    """Equal lengths in the least number of pieces without boxes, the widest gap nearby with them, few boxes where none is free."""
+    for y1, limit, over in [(1_000, 400, 0), (1_000, 400, 50), (5_003, 700, 90), (900, 400, 200)]:
+        how, cuts = slicing.plan(0, y1, limit, over, [])
+        sizes = [e - s for s, e in zip([0, *(max(0, c - over) for c in cuts)], [*cuts, y1])]
+        assert how == "clean" and max(sizes) - min(sizes) <= 2 and len(sizes) == max(2, -(-(y1 - over) // (limit - over)))
+    lines = [(k * 20 + 4, k * 20 + 19) for k in range(50)]  # gaps of four pixels between lines
+    apart = [b for b in lines if not 480 <= b[0] <= 540]  # and one wide gap
+    assert slicing.plan(0, 1_000, 600, 0, apart) == ("clean", [510])
+    how, cuts = slicing.plan(0, 1_000, 600, 0, [(0, 1_000), (0, 540), (560, 1_000)])
+    assert how == "forced" and 541 <= cuts[0] <= 559
 
 
 def test_slices(spark):
