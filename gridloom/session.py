@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,23 +32,35 @@ def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and read it back.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: the cluster's ``spark.checkpoint.dir``.
 
-    The folder is the cluster's ``spark.checkpoint.dir``. Only a local master
-    without one (tests) gets a folder of its own; on a cluster that lacks the
-    setting this raises, since a machine-local folder would not survive there.
+    Only a local master (one process) without the setting, as in tests, gets a
+    folder of its own, removed at exit; elsewhere a missing setting is an error,
+    since a machine-local folder would not be seen by other machines.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not sc.master.startswith("local"):
+            if not re.fullmatch(r"local(\[.*\])?", sc.master):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="gridloom-checkpoint-")
+            atexit.register(shutil.rmtree, folder, True)
         sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    return sc.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table to the shared folder and read it back.
+
+    What follows is planned from the table alone, whose size is known, and
+    recomputed from it if executors are lost.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def ship_package(spark: SparkSession) -> None:
