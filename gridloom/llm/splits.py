@@ -4,8 +4,8 @@ Records of a run are related when they share a family, author or entity, and
 so are records related to the same one. Components are found by random-mate
 contraction: every round each vertex draws a coin, tails next to a head are
 collapsed into the least such head, and the edges are carried over, until no
-edge is left. The rounds are then unwound from the last to the first, so that
-each vertex gets the representative it ended in. Edges lead from a record to
+edge is left. The rounds are then unwound, so that each vertex gets the
+representative it ended in. Edges lead from a record to
 the least record with the same key, one for each, so that a key that a third
 of all rows share is a star and no group is collected.
 
@@ -29,6 +29,8 @@ KEYS = ("family", "author", "entity")
 PLACEHOLDERS = ("", "-", "n/a", "unknown", "未知")
 #: Components over this part of a run are placed one by one (at most 1 / BIG of them); the rest by running weight.
 BIG = 0.02
+#: Split targets at most; more are an error, never a part of the list.
+SPLITS = 1_000
 _WIDE = "".join(chr(0xFF01 + i) for i in range(94))
 _NARROW = "".join(chr(0x21 + i) for i in range(94))
 
@@ -53,21 +55,21 @@ def components(features: DataFrame) -> DataFrame:
     mates, turn = [], 0
     while not edges.isEmpty():
         turn += 1
-        ways = edges.unionAll(edges.select(F.col("y").alias("x"), F.col("x").alias("y")))
-        mate = ways.where(~_coin("x", turn) & _coin("y", turn)).groupBy("x").agg(F.min("y").alias("to"))
+        ways = edges.select(F.explode(F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y")))).alias("e")).select("e.x", "e.y")
+        mate = cut_lineage(ways.where(~_coin("x", turn) & _coin("y", turn)).groupBy("x").agg(F.min("y").alias("to")))
         mates.append(mate)
         left = edges.join(mate, "x", "left").select(F.coalesce("to", "x").alias("x"), "y")
-        right = left.join(mate.withColumnRenamed("x", "y"), "y", "left").select("x", F.coalesce("to", "y").alias("y"))
-        edges = cut_lineage(right.where("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct())
-    found = None
-    for k, mate in enumerate(reversed(mates)):
-        if found is None:
-            found = mate.withColumnRenamed("to", "root")
-        else:
-            later = found.select(F.col("x").alias("to"), "root")
-            found = found.unionAll(mate.join(later, "to", "left").select("x", F.coalesce("root", "to").alias("root")))
-        if k % 4 == 3:
+        right = left.join(mate.withColumnRenamed("x", "y"), "y", "left").select("x", F.coalesce("to", "y").alias("y")).where("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+        edges = cut_lineage(right.distinct() if turn % 3 == 1 else right)  # edges that become equal are counted once now and then; mates do not mind
+    # A vertex is collapsed once, into one that stays until a later round: the mates are trees no deeper than the
+    # rounds, unwound by pointing every vertex twice as far each time.
+    found = reduce(DataFrame.unionAll, mates) if mates else None
+    for k in range((turn - 1).bit_length() if turn else 0):
+        farther = found.select(F.col("x").alias("to"), F.col("to").alias("far"))
+        found = found.join(farther, "to", "left").select("x", F.coalesce("far", "to").alias("to"))
+        if k % 2 == 1:
             found = cut_lineage(found)
+    found = found.withColumnRenamed("to", "root") if mates else None
     records = rows.select("run_id", "file_name", vertex.alias("x")).distinct()
     if found is None:
         return records.select("run_id", "file_name", F.col("x").alias("root"))
@@ -90,7 +92,10 @@ def regrouped_splits(features: DataFrame, targets: DataFrame) -> DataFrame:
     follow in the order of a hash by their running weight, in two levels so
     that no run is summed in one task.
     """
-    shares = [(r[0], float(r[1] or 0)) for r in targets.select("name", "share").where("name is not null").orderBy("name").limit(100).collect()]
+    rows = targets.select("name", "share").where("name is not null").orderBy("name").limit(SPLITS + 1).collect()
+    if len(rows) > SPLITS:
+        raise ValueError(f"more than {SPLITS} split targets")
+    shares = [(r[0], float(r[1] or 0)) for r in rows]
     total = sum(s for _, s in shares) or 1.0
     names, wanted = [n for n, _ in shares], [s / total for _, s in shares]
     groups = cut_lineage(components(features))
