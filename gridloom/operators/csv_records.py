@@ -1,10 +1,11 @@
 """CSV records that parse, and those that do not with the reason.
 
-Records go through a columnar parser in blocks. A block is taken whole if the
-parse can be proved right: as many rows as records, and each record equal to
-one of the four ways to write its two fields again (either enclosed or not).
-A block that fails is bisected until a few records are left, which are
-diagnosed strictly, one by one. The reason is the first that applies:
+Records go through a columnar parser in blocks. A block fails if its rows do not
+line up with its records (a quote that is not closed takes in the next ones);
+it is bisected until the bad record stands alone. In a block that lines up a
+record is taken if its parse is proved right: it equals one of the four ways to
+write its two fields again (either enclosed or not). All others are diagnosed
+strictly, one by one. The reason is the first that applies:
 
 ``quoting``  a quote or a line break in a field that is not enclosed, no
              closing quote, or anything but a comma after it
@@ -30,8 +31,8 @@ from pyspark.sql import DataFrame
 
 from gridloom.session import ship_package
 
-#: Records of a first block, and of a failing block that is no longer cut in two but diagnosed.
-BLOCK, LEAST = 512, 8
+#: Records of a first block.
+BLOCK = 512
 #: The suffixes of page names.
 SUFFIXES = (".jpg", ".jpeg", ".png", ".webp", ".bmp")
 
@@ -39,7 +40,6 @@ _NAME = r"(?i)^[^/\\]*[^/\\\s][^/\\]*\.(?:jpg|jpeg|png|webp|bmp)$"
 _BAD_TEXT = "[\u0000-\u0008\u000b\u000c\u000e-\u001f\ufffd]"
 _BAD_TEXT_RE = re.compile(_BAD_TEXT)
 _READ = pv.ReadOptions(use_threads=False, column_names=["name", "text"], block_size=1 << 26)
-_PARSE = pv.ParseOptions(newlines_in_values=True, ignore_empty_lines=False)
 _CONVERT = pv.ConvertOptions(column_types={"name": pa.string(), "text": pa.string()}, strings_can_be_null=False)
 
 
@@ -105,18 +105,32 @@ def diagnose(record: str | None) -> tuple[str | None, str | None, str | None]:
     return fields[0].strip(), fields[1], None
 
 
-def _bulk(records: pa.Array) -> tuple[pa.Array, pa.Array] | None:
-    """Names and texts of a block, or None if the parse is not proved right."""
-    if records.null_count:
-        return None
-    body = pc.replace_substring_regex(records, r"(?:\r\n|\n|\r)\z", "")
+def _bulk(records: pa.Array) -> tuple[list[int], pa.Array, pa.Array, pa.Array] | None:
+    """``(places, names, texts, fine)`` of the rows of a block, or None if rows and records do not line up.
+
+    A row is fine if its record is one of the four ways to write its two fields,
+    which proves its parse right whatever the other rows hold, and if the values
+    are valid. Places of records with another number of fields are missing.
+    """
+    body = pc.replace_substring_regex(pc.fill_null(records, ""), r"(?:\r\n|\n|\r)\z", "")
     joined = "\n".join(body.to_pylist()) + "\n"
+    odd: list[int] = []
+
+    def skip(row: pv.InvalidRow) -> str:
+        odd.append(row.number)
+        return "skip"
+
     try:
-        table = pv.read_csv(pa.BufferReader(joined.encode("utf-8", "surrogatepass")), _READ, _PARSE, _CONVERT)
+        table = pv.read_csv(pa.BufferReader(joined.encode("utf-8", "surrogatepass")), _READ, pv.ParseOptions(newlines_in_values=True, ignore_empty_lines=False, invalid_row_handler=skip), _CONVERT)
     except (pa.ArrowInvalid, pa.ArrowKeyError, UnicodeError):
         return None
-    if table.num_rows != len(body):
+    if table.num_rows + len(odd) != len(body) or None in odd:
+        return None
+    left_out = {n - 1 for n in odd}
+    places = [i for i in range(len(body)) if i not in left_out]
+    if len(places) != table.num_rows:
         return None
+    body = body.take(pa.array(places, pa.int64()))
     name, text = table.column("name").combine_chunks(), table.column("text").combine_chunks()
     quoted = lambda x: pc.binary_join_element_wise('"', pc.replace_substring(x, '"', '""'), '"', "")
     plain = lambda x: pc.invert(pc.match_substring_regex(x, '[",\r\n]'))
@@ -132,19 +146,22 @@ def _bulk(records: pa.Array) -> tuple[pa.Array, pa.Array] | None:
     name = pc.utf8_trim_whitespace(name)
     fine = pc.and_(same, pc.match_substring_regex(name, _NAME))
     fine = pc.and_(fine, pc.invert(pc.match_substring_regex(text, _BAD_TEXT)))
-    fine = pc.and_(fine, pc.not_equal(pc.utf8_trim_whitespace(text), ""))
-    return (name, text) if pc.all(fine, min_count=0).as_py() else None
+    return places, name, text, pc.and_(fine, pc.not_equal(pc.utf8_trim_whitespace(text), ""))
 
 
 def parse_block(records: pa.Array) -> list[tuple[str | None, str | None, str | None]]:
     """Every record of a block, in order."""
-    got = _bulk(records)
-    if got is not None:
-        return [(a, b, None) for a, b in zip(got[0].to_pylist(), got[1].to_pylist())]
-    if len(records) <= LEAST:
-        return [diagnose(r) for r in records.to_pylist()]
-    half = len(records) // 2
-    return parse_block(records[:half]) + parse_block(records[half:])
+    got = _bulk(records) if len(records) > 1 else None
+    if got is None:
+        if len(records) == 1:
+            return [diagnose(records[0].as_py())]
+        half = len(records) // 2
+        return parse_block(records[:half]) + parse_block(records[half:]) if half else []
+    out: list = [None] * len(records)
+    for at, name, text, fine in zip(got[0], *(x.to_pylist() for x in got[1:])):
+        if fine:
+            out[at] = (name, text, None)
+    return [row or diagnose(records[at].as_py()) for at, row in enumerate(out)]
 
 
 def parse_records(raw: DataFrame, key: str = "raw_id", record: str = "raw_row") -> DataFrame:
