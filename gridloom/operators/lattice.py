@@ -14,6 +14,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from statistics import median
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -274,34 +275,33 @@ def _header_band(numeric: list[Box], rows: list[tuple[float, int]], tall: float)
     return None if best is None else (best[1], best[2])
 
 
-def monotonic_keys(values: list[int | None], most: int = 120, stride: int = 3) -> tuple[list[int], int]:
-    """Row keys that climb by 1 to ``stride``: fewest mismatches, then least error, then fewest skips; the smaller key on a tie.
+def monotonic_keys(values: list[int | None], most: int = 120, stride: int = 3) -> tuple[list[int], int] | None:
+    """Row keys from 0 to ``most`` that climb by 1 to ``stride``: fewest mismatches, then least error, then fewest skips; the smaller key on a tie.
 
-    Missing values mismatch nothing. Returns the keys and how many values agree.
+    Missing values mismatch nothing. Returns the keys and how many values agree,
+    or None where there are no values or more than such keys can climb.
     """
-    if not values:
-        return [], 0
-    cost = lambda k, v: (0, 0) if v is None else (int(k != v), abs(k - v))
-    table = [(*cost(k, values[0]), 0) for k in range(most + 1)]
-    back: list[list[int]] = []
-    for v in values[1:]:
-        new, come = [], []
-        for k in range(most + 1):
-            ways = [((table[p][0], table[p][1], table[p][2] + (k - p - 1)), p) for p in range(max(0, k - stride), k)]
-            if not ways:
-                new.append((10**9, 0, 0))
-                come.append(-1)
-                continue
-            (m, e, s), p = min(ways)
-            dm, de = cost(k, v)
-            new.append((m + dm, e + de, s))
-            come.append(p)
-        table, back = new, [*back, come]
-    at = min(range(most + 1), key=lambda k: (table[k], k))
-    path = [at]
-    for come in reversed(back):
-        at = come[at]
-        path.append(at)
+    if not 0 < len(values) <= most + 1:
+        return None
+    keys = np.arange(most + 1)
+    # One number for the three costs. How far a value lies beyond the keys is the same for all of them and left out.
+    costs = np.zeros((len(values), most + 1), np.int64)
+    for row, v in zip(costs, values):
+        if v is not None:
+            v = min(max(v, -1), most + 1)
+            row += (keys != v) * (1 << 40) + np.abs(keys - v) * (1 << 16)
+    never = np.int64(1 << 60)
+    best, steps = costs[0], []
+    for cost in costs[1:]:
+        # ways[d - 1][k]: from key k - d, the longest stride first so that the smaller key wins a tie
+        ways = np.full((stride, most + 1), never)
+        for d in range(1, stride + 1):
+            ways[stride - d, d:] = best[:-d] + (d - 1)
+        steps.append(stride - ways.argmin(axis=0))
+        best = np.minimum(ways.min(axis=0) + cost, never)
+    path = [int(best.argmin())]
+    for step in reversed(steps):
+        path.append(path[-1] - int(step[path[-1]]))
     path.reverse()
     return path, sum(v == k for v, k in zip(values, path))
 
@@ -448,8 +448,8 @@ def annual_matrix(boxes: list[Box]) -> Grid | None:
     groups = reset_groups([body.right_edge(r) for r in range(len(body.ys))], max(4, n_years // 5), max(4, min(20, n_years // 4)))
     for g in range(groups[-1] + 1):
         part = [r for r, h in enumerate(groups) if h == g]
-        path, inliers = monotonic_keys([int(rows[r][from_ - 1]) if rows[r][from_ - 1].isdigit() and int(rows[r][from_ - 1]) <= 120 else None for r in part])
-        if inliers >= 0.5 * len(part):
+        path, inliers = monotonic_keys([int(rows[r][from_ - 1]) if rows[r][from_ - 1].isdigit() and int(rows[r][from_ - 1]) <= 120 else None for r in part]) or ([], 0)
+        if path and inliers >= 0.5 * len(part):
             for r, age in zip(part, path):
                 rows[r][from_ - 1] = str(age)
         block = [rows[r] for r in part]
@@ -555,14 +555,14 @@ def matrices(boxes: DataFrame, key: str) -> DataFrame:
 
 
 def key_paths(rows: DataFrame, key: str, order: str, value: str) -> DataFrame:
-    """``(key, path, inliers)``: the climbing row keys that fit the values of each key best, in order. Distinct values only; a page bounds them."""
+    """``(key, path, inliers)``: the climbing row keys that fit the values of each key best, in order; null where none fit. Distinct values only; a page bounds them."""
     ship_package(rows.sparkSession)
     points = rows.where(F.col(key).isNotNull() & F.col(order).isNotNull()).select(key, order, value).distinct()
     listed = points.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(order, value))).alias("points"))
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [monotonic_keys([p[value] for p in ps]) for ps in batch.column(1).to_pylist()]
+            found = [monotonic_keys([p[value] for p in ps]) or (None, None) for ps in batch.column(1).to_pylist()]
             paths, inliers = pa.array([f[0] for f in found], pa.list_(pa.int32())), pa.array([f[1] for f in found], pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0), paths, inliers], names=[key, "path", "inliers"])
 

@@ -86,6 +86,14 @@ def row_overlap(above: list, below: list, most: int) -> int:
     return next((k for k in range(min(len(above), len(below), most), 0, -1) if all(map(_same, above[-k:], below[:k]))), 0)
 
 
+def column_overlap(left: list, right: list, most: int) -> int:
+    """Most columns that end the left and begin the right; blanks alone prove nothing, two filled cells are needed."""
+    for k in range(min(len(left), len(right), most), 0, -1):
+        if all(map(_same, left[-k:], right[:k])) and sum(bool(tidy(v)) for column in right[:k] for v in column) >= 2:
+            return k
+    return 0
+
+
 def repeated_prefix(first: list, later: list, most: int) -> int:
     k = 0
     while k < min(len(first), len(later), most) and _same(first[k], later[k]):
@@ -105,12 +113,7 @@ def merge_horizontal(grids: list[Grid]) -> Grid | None:
     for g in grids[1:]:
         new = _columns(g)
         new = new[repeated_prefix(_columns(grids[0]), new, 8) :]
-        k = row_overlap(done, new, 5)
-        while k and any(sum(bool(tidy(v)) for v in column) < 2 for column in new[:k]):
-            k -= 1  # columns of blanks prove nothing
-            if k and not all(map(_same, done[-k:], new[:k])):
-                continue
-        done += new[k:]
+        done += new[column_overlap(done, new, 5) :]
     grid = list(zip(*done))
     explicit = 2 * sum(g.explicit for g in grids) >= len(grids)
     return Grid(tuple(grid[0]), tuple(map(tuple, grid[1:])), explicit)

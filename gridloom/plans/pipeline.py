@@ -69,7 +69,7 @@ def recognise(tiles: DataFrame, recogniser: Recogniser, s: Settings) -> DataFram
                 try:
                     rows.append((tile["tile_id"], call_with_retries(recogniser.read, tile, retries), None))
                 except Exception as e:  # noqa: BLE001
-                    rows.append((tile["tile_id"], None, f"{type(e).__name__}: {e}"[:500]))
+                    rows.append((tile["tile_id"], None, f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(rows, columns=["tile_id", "text", "error"])
 
     return tiles.mapInPandas(run, "tile_id string, text string, error string")
@@ -113,14 +113,14 @@ def page_texts(tiles: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
 
 
 def output_text(text, s: Settings):
-    """HTML tables as pipes where that loses nothing, within the byte budget where there is one."""
+    """HTML tables as pipes where that loses nothing, within the byte budget where there is one; null where nothing fits it."""
     piped = F.coalesce(pipes_from_html(text), text)
-    return F.coalesce(within_budget(s.byte_budget)(piped), piped) if s.byte_budget else piped
+    return within_budget(s.byte_budget)(piped) if s.byte_budget else piped
 
 
 def submission(template: DataFrame, pages: DataFrame, s: Settings) -> DataFrame:
     """Every name of the template with its text or the placeholder."""
-    good = pages.where("issue is null").select("file_name", output_text(F.col("text"), s).alias("text"))
+    good = pages.where("issue is null").select("file_name", output_text(F.col("text"), s).alias("text")).where("text is not null")
     if s.on_error == "raise":
         bad = F.when(F.col("issue").isNotNull(), F.raise_error(F.concat_ws(": ", "file_name", "issue"))).otherwise(F.col("text"))
         good = pages.select("file_name", bad.alias("text"))

@@ -1,3 +1,6 @@
+import difflib
+import random
+
 import pytest
 
 from gridloom.functions import tables as B
@@ -30,6 +33,58 @@ def test_conversions():
     assert B.close_implied("<table><tr><td>1<td>2<tr><td>3</table>") == "<table><tr><td>1</td><td>2</td></tr><tr><td>3</td></tr></table>"
 
 
+def test_stray_closings_stay_for_the_check():
+    assert B.close_implied("<table><tr></td><td>1<td>2</table>") == "<table><tr></td><td>1</td><td>2</td></table>"
+    assert B.close_implied("<table><tr><td>1<table><tr><th>2</table>3<tr><td>4</table>") == "<table><tr><td>1<table><tr><th>2</th></tr></table>3</td></tr><tr><td>4</td></tr></table>"
+
+
+def test_budget_with_prose_behind_the_table():
+    table = "| a | b |\n| --- | --- |\n| 1 | 2 |\n"
+    assert B.retain_rows(table + "\n" + "long prose " * 100, 200) == table
+    assert B.retain_rows("intro\n" + table + "middle\n" + table + "tail " * 50, 120) == "intro\n" + table + "middle\n" + table
+    assert B.retain_rows("intro\n" + table + "middle " * 30 + "\n" + table, 120) == "intro\n" + table
+    for text in ("prose only " * 40, "prose " * 40 + "\n" + table):
+        with pytest.raises(ValueError):
+            B.retain_rows(text, 100)
+
+
+def test_columns_that_overlap():
+    left, right = B.Grid(("k", "A", ""), (("1", "x", ""),)), B.Grid(("A", "", "C"), (("x", "", "z"),))
+    assert M.merge_horizontal([left, right]) == B.Grid(("k", "A", "", "C"), (("1", "x", "", "z"),))
+    blank = B.Grid(("", "C"), (("", "z"),))
+    assert M.merge_horizontal([left, blank]) == B.Grid(("k", "A", "", "", "C"), (("1", "x", "", "", "z"),))
+
+
+def test_matching_blocks_equal_difflib():
+    rng = random.Random(3)
+    for n in (40, 400, 900):
+        for alphabet in ("ab", "abcdefgh投保人应当核对"):
+            a = "".join(rng.choice(alphabet) for _ in range(n))
+            b = list(a)
+            for _ in range(n // 12):
+                at = rng.randrange(len(b))
+                b[at : at + rng.randrange(3)] = rng.choice(["", "x", a[: rng.randrange(20)]])
+            b = "".join(b)
+            wide, E.WIDE = E.WIDE, 300
+            try:
+                got = E.matching_characters(a, b)
+            finally:
+                E.WIDE = wide
+            assert got == sum(m.size for m in difflib.SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks())
+
+
+def test_large_tables_are_compared_by_cells():
+    rows = [[f"{i}", *(f"{i * j * 7919 % 10_007}" for j in range(1, 40))] for i in range(200)]
+    pipe = lambda rs: "| " + " | ".join(map(str, range(40))) + " |\n|" + " --- |" * 40 + "\n" + "".join(B.join_row(r) + "\n" for r in rs)
+    true = "标题\n" + pipe(rows)
+    shifted = "标题\n" + pipe([[*r[:1], *r[2:], ""] if k == 0 else r for k, r in enumerate(rows)])
+    assert len(E.normalized(true)) > E.CHARS and E.score_pair(true, true)[0] == 100.0
+    assert 99 < E.score_pair(shifted, true)[0] < 100
+    cut = E.aligned_text("标题\n" + pipe(rows[:100]), true)
+    assert 40 < cut < 60 and E.aligned_text("prose", true) is None
+    assert E._cell_pairs(["a", "b", "c"], ["a", "c"]) == [("a", "a"), ("c", "c"), ("b", "")]
+
+
 def test_split_numbers_and_budget():
     assert B.repair_split_numbers("| 1 | 441 | .02 | 5677. |  | 84 |") == "| 1 | 441.02 | 5677.84 |  |  |  |"
     assert B.repair_split_numbers("| --- | --- |") == "| --- | --- |"
@@ -93,7 +148,9 @@ def test_fragments_and_walk():
     drift = [(i * 10.1, 5) for i in range(500)]
     assert len(L.walk(drift, 10.0)) == 500
     assert L.monotonic_keys([5, 6, None, 9, 9]) == ([5, 6, 7, 8, 9], 3)
-    assert L.monotonic_keys([]) == ([], 0)
+    assert L.monotonic_keys([]) is None and L.monotonic_keys([None] * 122) is None and L.monotonic_keys(list(range(200))) is None
+    assert L.monotonic_keys(list(range(121))) == (list(range(121)), 121)
+    assert L.monotonic_keys([None] * 121)[0] == list(range(121)) and L.monotonic_keys([7, 10**9, -5]) == ([7, 8, 9], 1)
 
 
 def test_reading_order():
