@@ -48,9 +48,12 @@ def _cells(spark: SparkSession, folder: str) -> DataFrame:
     return one_per_key(_arrived_cells(spark, folder), "row_id")
 
 
+def _arrived_records(spark: SparkSession, folder: str) -> DataFrame:
+    return read_table(spark, folder, "markdown_records", "record_id", "file_name", "read_text").withColumnRenamed("read_text", "text")
+
+
 def _records(spark: SparkSession, folder: str) -> DataFrame:
-    rows = read_table(spark, folder, "markdown_records", "record_id", "file_name", "read_text")
-    return one_per_key(rows, "record_id").withColumnRenamed("read_text", "text")
+    return one_per_key(_arrived_records(spark, folder), "record_id")
 
 
 def _slices(spark: SparkSession, folder: str) -> DataFrame:
@@ -225,7 +228,8 @@ _PARSED = f"""
 
 
 def _pipe_tables(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _records(spark, folder).select("record_id", F.posexplode(T.blocks("text")).alias("place", "block"))
+    """Tables of the records as they arrived; repeated keys are dropped from what is made of them."""
+    rows = _arrived_records(spark, folder).select("record_id", F.posexplode(T.blocks("text")).alias("place", "block"))
     parsed = rows.select("record_id", (F.col("place") + 1).cast("bigint").alias("place"), T.parse_pipe_table("block").alias("t"))
     return parsed.where("t is not null")
 
@@ -233,7 +237,7 @@ def _pipe_tables(spark: SparkSession, folder: str) -> DataFrame:
 @_query(f"SELECT record_id, place, len(grid) - 2 AS n_rows, len(grid[1]) AS n_cols, array_to_string(grid[1], '/') AS header FROM ({_PARSED})")
 def pipe_table_stats(spark: SparkSession, folder: str) -> DataFrame:
     rows = _pipe_tables(spark, folder)
-    return rows.select("record_id", "place", F.size("t.rows").cast("bigint").alias("n_rows"), F.size("t.header").cast("bigint").alias("n_cols"), F.array_join("t.header", "/").alias("header"))
+    return rows.select("record_id", "place", F.size("t.rows").cast("bigint").alias("n_rows"), F.size("t.header").cast("bigint").alias("n_cols"), F.array_join("t.header", "/").alias("header")).dropDuplicates(["record_id", "place"])
 
 
 _ROW = lambda r: f"'| ' || array_to_string({r}, ' | ') || ' |'"
@@ -246,7 +250,7 @@ _ROW = lambda r: f"'| ' || array_to_string({r}, ' | ') || ' |'"
 )
 def pipe_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     rows = _pipe_tables(spark, folder)
-    return rows.select("record_id", "place", F.md5(T.format_pipe_table(F.col("t.header"), F.col("t.rows"))).alias("digest"))
+    return rows.select("record_id", "place", F.md5(T.format_pipe_table(F.col("t.header"), F.col("t.rows"))).alias("digest")).dropDuplicates(["record_id", "place"])
 
 
 @_query(
@@ -264,7 +268,7 @@ def byte_budget_rows(spark: SparkSession, folder: str) -> DataFrame:
     head = size(F.col("t.header")) + size(F.transform("t.header", lambda c: F.lit("---")))
     start = F.struct(head.alias("total"), F.lit(0).alias("kept"))
     fold = F.aggregate("t.rows", start, lambda s, r: F.struct((s["total"] + size(r)).alias("total"), (s["kept"] + F.when(s["total"] + size(r) <= 401, 1).otherwise(0)).alias("kept")))
-    return rows.select("record_id", "place", fold["kept"].cast("bigint").alias("kept"), F.size("t.rows").cast("bigint").alias("n_rows"))
+    return rows.select("record_id", "place", fold["kept"].cast("bigint").alias("kept"), F.size("t.rows").cast("bigint").alias("n_rows")).dropDuplicates(["record_id", "place"])
 
 
 def _shape_sql(x: str) -> list[str]:
@@ -554,10 +558,10 @@ _MEET = "coalesce(list_max(list_filter(range(1, 31), lambda k: k <= len(a) AND k
 )
 def line_overlap_merge(spark: SparkSession, folder: str) -> DataFrame:
     """Each text cut into parts of eight lines that share three, and merged again."""
-    rows = _cells(spark, folder).where("text is not null").select("row_id", T.solid_lines("text").alias("l")).where(F.size("l") > 0)
+    rows = _arrived_cells(spark, folder).where("text is not null").select("row_id", T.solid_lines("text").alias("l")).where(F.size("l") > 0)
     n = F.greatest(F.lit(1), F.ceil((F.size("l") - 3) / 5).cast("int"))
     parts = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.array_join(F.slice("l", i * 5 + 1, 8), "\n"))
-    return rows.select("row_id", F.md5(merge.merge_lines(parts)).alias("digest"))
+    return one_per_key(rows.select("row_id", F.md5(merge.merge_lines(parts)).alias("digest")), "row_id")
 
 
 @_query(
@@ -588,29 +592,45 @@ def tsv_boxes(spark: SparkSession, folder: str) -> DataFrame:
     return read.select(F.col("text").cast("bigint").alias("obs_id"), F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
 
 
-@_query(f"SELECT row_id, contains(lower(text), '<table') AS has_table, text AS payload FROM {_CELLS} WHERE text IS NOT NULL AND {_s('text')} <> '' AND NOT starts_with({_s('text')}, '```')")
+@_query(f"SELECT row_id, contains(lower(text), '<table') AS has_table, md5({_s('text')} || chr(10)) AS digest FROM {_CELLS} WHERE text IS NOT NULL AND {_s('text')} <> '' AND NOT starts_with({_s('text')}, '```')")
 def payload_text(spark: SparkSession, folder: str) -> DataFrame:
-    """Texts wrapped as nested payloads and taken out again."""
-    rows = _cells(spark, folder).where((T.strip("text") != "") & ~T.strip("text").startswith("```"))
+    """Texts wrapped as nested payloads and taken out again, without white space at the edges and with one line end."""
+    rows = _arrived_cells(spark, folder).where((T.strip("text") != "") & ~T.strip("text").startswith("```"))
     wrapped = F.to_json(F.struct(F.lit(True).alias("success"), F.struct(F.array(F.struct(F.col("text").alias("content"))).alias("choices")).alias("data")))
-    return rows.select("row_id", F.lower("text").contains("<table").alias("has_table"), F.lit(None).cast("string").alias("_"), boxes.payload_texts(wrapped).alias("payload")).drop("_").join(
-        rows.select("row_id", F.col("text").alias("_t")), "row_id"
-    ).select("row_id", "has_table", F.when(F.col("payload") == F.concat(T.strip("_t"), F.lit("\n")), F.col("_t")).otherwise(F.col("payload")).alias("payload"))
+    read = rows.select("row_id", F.lower("text").contains("<table").alias("has_table"), wrapped.alias("wrapped")).select("row_id", "has_table", boxes.payload_texts("wrapped").alias("payload"))
+    return one_per_key(read.select("row_id", "has_table", F.md5("payload").alias("digest")), "row_id")
 
 
-@_query()
+# HTML tables without spans, as grids.
+_HTML_BLOCK = r"(?is)<table\b.*?</table\s*>"
+_HTML_ROWS = lambda x: f"list_transform(regexp_extract_all({x}, '(?is)<tr[^<>]*>.*?</tr>'), lambda r: list_transform(regexp_extract_all(r, '(?is)<t[dh][^<>]*>(.*?)</t[dh]>', 1), lambda c: {_c('c')}))"
+_HTML_GRIDS = f"""
+    SELECT record_id, place, block, {_HTML_ROWS('block')} AS grid, len(regexp_extract_all(regexp_extract(block, '(?is)<tr[^<>]*>(.*?)</tr>', 1), '(?i)<td')) = 0 AS explicit
+    FROM (SELECT record_id, unnest(b) AS block, generate_subscripts(b, 1) - 1 AS place FROM (SELECT record_id, regexp_extract_all(text, '{_HTML_BLOCK}') AS b FROM {_RECORDS}))"""
+
+
+@_query(f"SELECT record_id, place, len(grid[1]) AS n_cols, len(grid) - 1 AS n_rows, explicit, array_to_string(grid[1], '/') AS header FROM ({_HTML_GRIDS})")
 def html_tables(spark: SparkSession, folder: str) -> DataFrame:
     """Every HTML table as a grid; null header where it is no simple one."""
-    rows = _records(spark, folder).where(F.lower("text").contains("<table"))
-    found = F.regexp_extract_all("text", F.lit(r"(?is)<table\b.*?</table\s*>"), F.lit(0))
+    rows = _arrived_records(spark, folder).where(F.lower("text").contains("<table"))
+    found = F.regexp_extract_all("text", F.lit(_HTML_BLOCK), F.lit(0))
     each = rows.select("record_id", F.posexplode(found).alias("place", "block")).withColumn("g", tables.html_grid("block"))
-    return each.select("record_id", "place", F.size("g.header").alias("n_cols"), F.size("g.rows").alias("n_rows"), "g.explicit", F.array_join("g.header", "/").alias("header"))
+    sized = each.select("record_id", F.col("place").cast("bigint").alias("place"), F.size("g.header").cast("bigint").alias("n_cols"), F.size("g.rows").cast("bigint").alias("n_rows"), "g.explicit", F.array_join("g.header", "/").alias("header"))
+    return sized.dropDuplicates(["record_id", "place"])
 
 
-@_query()
+_AS_PIPES = f"array_to_string(list_concat([{_ROW('grid[1]')}, {_ROW("list_transform(grid[1], lambda c: '---')")}], list_transform(grid[2:], lambda r: {_ROW('r')})), chr(10))"
+
+
+@_query(
+    f"""
+    WITH g AS ({_HTML_GRIDS}), p AS (SELECT record_id, list({_AS_PIPES} ORDER BY place) AS pipes FROM g GROUP BY 1),
+    t AS (SELECT record_id, string_split_regex(text, '{_HTML_BLOCK}') AS parts FROM {_RECORDS} WHERE contains(lower(text), '<table'))
+    SELECT t.record_id, md5(array_to_string(list_transform(range(1, len(parts) + 1), lambda i: parts[i] || coalesce(pipes[i], '')), '')) AS digest FROM t LEFT JOIN p ON t.record_id = p.record_id"""
+)
 def html_to_pipe(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _records(spark, folder).where(F.lower("text").contains("<table"))
-    return rows.select("record_id", tables.pipes_from_html("text").alias("text"))
+    rows = _arrived_records(spark, folder).where(F.lower("text").contains("<table"))
+    return one_per_key(rows.select("record_id", F.md5(tables.pipes_from_html("text")).alias("digest")), "record_id")
 
 
 @_query()
@@ -619,15 +639,28 @@ def implied_closures(spark: SparkSession, folder: str) -> DataFrame:
     return one_per_key(rows.select("row_id", T.html_issue("text").alias("before"), T.html_issue("closed").alias("after")), "row_id")
 
 
-@_query()
+@_query(
+    f"""
+    WITH h AS (SELECT record_id, grid FROM ({_HTML_GRIDS})),
+    l AS (SELECT record_id, unnest(v) AS v, generate_subscripts(v, 1) AS i FROM (SELECT record_id, string_split_regex(regexp_replace(text, '{_HTML_BLOCK}', chr(10), 'g'), '{T.LINE_END}') AS v FROM {_RECORDS})),
+    k AS (SELECT record_id, i, v, i - row_number() OVER (PARTITION BY record_id ORDER BY i) AS run FROM l WHERE {_PIPE}),
+    b AS (SELECT record_id, list({_CELLS_OF('v')} ORDER BY i) AS grid FROM k GROUP BY record_id, run),
+    p AS (SELECT record_id, list_concat([grid[1]], grid[3:]) AS grid FROM b WHERE len(grid) >= 2 AND len(list_filter(grid, lambda r: len(r) <> len(grid[1]))) = 0
+      AND len(list_filter(grid[2], lambda c: NOT regexp_matches(replace(c, ' ', ''), '{T.SEPARATOR_CELL}'))) = 0),
+    g AS (SELECT * FROM h UNION ALL SELECT * FROM p)
+    SELECT r.record_id, count(g.grid) AS tables, coalesce(sum(len(grid)), 0)::BIGINT AS rows, coalesce(sum(len(grid) * len(grid[1])), 0)::BIGINT AS cells, coalesce(sum(len(grid[1])), 0)::BIGINT AS header_cells,
+      coalesce(sum((len(grid) - 1) * len(grid[1])), 0)::BIGINT AS data_cells, coalesce(max(len(grid[1])), 0)::BIGINT AS columns
+    FROM {_RECORDS} r LEFT JOIN g ON r.record_id = g.record_id GROUP BY r.record_id"""
+)
 def table_statistics(spark: SparkSession, folder: str) -> DataFrame:
-    return _records(spark, folder).select("record_id", tables.table_stats("text").alias("s")).select("record_id", "s.*")
+    found = _arrived_records(spark, folder).select("record_id", tables.table_stats("text").alias("s"))
+    return one_per_key(found.select("record_id", *[F.col(f"s.{f.name}").cast("bigint").alias(f.name) for f in found.schema["s"].dataType]), "record_id")
 
 
 @_query()
 def retain_within_budget(spark: SparkSession, folder: str) -> DataFrame:
     cut = tables.within_budget(1_000)("text")
-    return _records(spark, folder).select("record_id", F.octet_length("text").alias("before"), F.octet_length(cut).alias("after"))
+    return one_per_key(_arrived_records(spark, folder).select("record_id", F.octet_length("text").alias("before"), F.octet_length(cut).alias("after")), "record_id")
 
 
 @_query()
@@ -666,10 +699,10 @@ def lattice_matrices(spark: SparkSession, folder: str) -> DataFrame:
     return lattice.matrices(laid.withColumns({"width": F.lit(30.0), "height": F.lit(10.0), "confidence": F.lit(1.0)}), "l_suppkey")
 
 
-@_query()
+@_query(f"SELECT record_id || '/' || place AS page, true AS same FROM ({_PARSED}) WHERE len(grid) - 2 > 3")
 def tile_rebuild(spark: SparkSession, folder: str) -> DataFrame:
     """Pipe tables cut into two bands of rows that share one, and rebuilt."""
-    rows = _pipe_tables(spark, folder).where(F.size("t.rows") > 3)
+    rows = _pipe_tables(spark, folder).where(F.size("t.rows") > 3).dropDuplicates(["record_id", "place"])
     n, half = F.size("t.rows"), F.floor(F.size("t.rows") / 2).cast("int")
     band = lambda a, k: T.format_pipe_table(F.col("t.header"), F.slice("t.rows", a, k))
     bands = F.array(band(F.lit(1), half + 1), band(half + 1, n - half))
@@ -700,21 +733,33 @@ def age_path(spark: SparkSession, folder: str) -> DataFrame:
     return lattice.key_paths(seen.select("slice_id", "y", F.col("text").cast("int").alias("k")), "slice_id", "y", "k")
 
 
-@_query()
+@_query(f"SELECT record_id || '/' || place AS page, true AS same FROM ({_PARSED})")
 def sequence_cell_merge(spark: SparkSession, folder: str) -> DataFrame:
     """Numbered pipe tables with their last column emptied and filled again from the whole ones."""
-    rows = _pipe_tables(spark, folder)
+    rows = _pipe_tables(spark, folder).dropDuplicates(["record_id", "place"])
     whole = T.format_pipe_table(F.col("t.header"), F.col("t.rows"))
     emptied = F.transform("t.rows", lambda r: F.concat(F.slice(r, 1, F.size(r) - 1), F.array(F.lit(""))))
     pairs = rows.select(F.concat_ws("/", "record_id", "place").alias("page"), T.format_pipe_table(F.col("t.header"), emptied).alias("previous"), whole.alias("local"))
     return merge.fill_tables(pairs, "page", "previous", "local").join(pairs.select("page", "local"), "page").select("page", F.coalesce(F.col("text") == F.col("local"), F.lit(False)).alias("same"))
 
 
-@_query()
+# Fields of a record: enclosed with inner quotes doubled, or bare.
+_FIELD = r'("([^"]|"")*"|[^",\r\n]*)'
+_BARE = lambda f: f"CASE WHEN starts_with({f}, '\"') THEN replace(substr({f}, 2, length({f}) - 2), '\"\"', '\"') ELSE {f} END"
+_FIELDS = f"""
+    SELECT raw_id, name, text, CASE WHEN r IS NULL THEN 'columns' WHEN NOT regexp_full_match(r, '{_FIELD}(,{_FIELD})*') THEN 'quoting' WHEN NOT two THEN 'columns'
+      WHEN NOT regexp_matches(lower(name), '\\.(jpg|jpeg|png|webp|bmp)$') OR {_s("regexp_replace(name, '(?i)\\.(jpg|jpeg|png|webp|bmp)$', '')")} = '' OR regexp_matches(name, '[/\\\\]')
+        OR {_s('text')} = '' OR regexp_matches(text, '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x{{fffd}}]') THEN 'value' END AS reason
+    FROM (SELECT raw_id, r, two, {_s(_BARE('f1'))} AS name, {_BARE('f2')} AS text FROM (
+      SELECT raw_id, r, regexp_full_match(r, '{_FIELD},{_FIELD}') AS two, regexp_extract(r, '^{_FIELD},{_FIELD}$', 1) AS f1, regexp_extract(r, '^{_FIELD},{_FIELD}$', 3) AS f2 FROM (
+        SELECT DISTINCT ON (raw_id) raw_id, regexp_replace(raw_row, '(\\r\\n|\\n|\\r)$', '') AS r FROM submission_raw)))"""
+
+
+@_query(f"SELECT raw_id, reason FROM ({_FIELDS}) WHERE reason IS NOT NULL")
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return rejects(read_table(spark, folder, "submission_raw", "raw_id", "raw_row"))
 
 
-@_query()
+@_query(f"SELECT raw_id, name AS file_name, text AS ground_truth FROM ({_FIELDS}) WHERE reason IS NULL")
 def p5_valid(spark: SparkSession, folder: str) -> DataFrame:
     return accepted(read_table(spark, folder, "submission_raw", "raw_id", "raw_row"))
