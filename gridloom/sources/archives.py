@@ -1,6 +1,7 @@
 """Page and label files from directory trees and zip archives.
 
-``zipmembers`` is a Python data source with one partition an archive. Contents
+``zipmembers`` is a Python data source with a partition for each range of members
+of ``SPLIT_BYTES``, so a large archive is read by many tasks. Contents
 are read only if asked for. Of files with the same base name the first by path
 wins, as a tree that lists a page twice means the same page.
 """
@@ -20,29 +21,56 @@ from pyspark.sql.window import Window
 
 from gridloom.operators.csv_records import SUFFIXES
 
+#: Bytes of members that one task reads, or one member.
+SPLIT_BYTES = 64 << 20
+
 
 @dataclass
-class _Archive(InputPartition):
+class _Members(InputPartition):
     path: str
+    first: int
+    end: int
+
+
+def _ranges(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of members that hold at most so many bytes, or one member."""
+    first = held = 0
+    for i, size in enumerate(sizes):
+        if i > first and held + size > most:
+            yield first, i
+            first, held = i, 0
+        held += size
+    if first < len(sizes):
+        yield first, len(sizes)
 
 
 class _ZipReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.pattern = options["path"]
         self.content = options.get("content", "true").lower() == "true"
+        self.bytes = int(options.get("bytes", SPLIT_BYTES))
 
-    def partitions(self) -> list[InputPartition]:
-        return [_Archive(p) for p in sorted(glob.glob(self.pattern))]
+    @staticmethod
+    def _listed(archive: zipfile.ZipFile) -> list[zipfile.ZipInfo]:
+        return sorted((i for i in archive.infolist() if not i.is_dir()), key=lambda i: i.filename)
 
-    def read(self, partition: _Archive) -> Iterator[tuple]:
+    def partitions(self) -> list[InputPartition]:
+        """Ranges of members from the directory at the end of each archive; no member is read here."""
+        out = []
+        for path in sorted(glob.glob(self.pattern)):
+            with zipfile.ZipFile(path) as archive:
+                sizes = [i.file_size if self.content else 1 for i in self._listed(archive)]
+            out += [_Members(path, first, end) for first, end in _ranges(sizes, self.bytes)]
+        return out
+
+    def read(self, partition: _Members) -> Iterator[tuple]:
         with zipfile.ZipFile(partition.path) as archive:
-            for info in sorted(archive.infolist(), key=lambda i: i.filename):
-                if not info.is_dir():
-                    yield partition.path, info.filename, info.file_size, archive.read(info) if self.content else None
+            for info in self._listed(archive)[partition.first : partition.end]:
+                yield partition.path, info.filename, info.file_size, archive.read(info) if self.content else None
 
 
 class ZipMembers(DataSource):
-    """``spark.read.format("zipmembers").load("/in/*.zip")``; option ``content=false`` lists members only."""
+    """``spark.read.format("zipmembers").load("/in/*.zip")``; option ``content=false`` lists members only, ``bytes`` is what a task reads at most."""
 
     @classmethod
     def name(cls) -> str:

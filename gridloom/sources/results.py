@@ -33,22 +33,27 @@ def read_results(spark: SparkSession, path: str, duplicates: str = "last") -> Da
     return rows.withColumn("file_name", F.coalesce(checked.cast("string"), name))
 
 
-def write_results(rows: DataFrame, path: str, text: str = "text", order: str = "ord") -> None:
-    """One CSV file, in order."""
+def _write(ordered: DataFrame, path: str, single: bool, **options: str) -> None:
+    """Parts in the order of their names. One file is for small results: rows are worked out and sorted before it, but written by one task."""
+    (ordered.coalesce(1) if single else ordered).write.mode("overwrite").options(header="true", **options).csv(path)
+
+
+def write_results(rows: DataFrame, path: str, text: str = "text", order: str = "ord", single: bool = False) -> None:
+    """Result sets in order, each part with the header; ``single`` writes one file."""
     ordered = rows.orderBy(order) if order in rows.columns else rows.orderBy("file_name")
-    out = ordered.select("file_name", F.coalesce(text, F.lit("")).alias("ground_truth")).coalesce(1)
-    out.write.mode("overwrite").options(header="true", escape='"', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false", emptyValue="").csv(path)
+    out = ordered.select("file_name", F.coalesce(text, F.lit("")).alias("ground_truth"))
+    _write(out, path, single, escape='"', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false", emptyValue="")
 
 
-def write_scores(scores: DataFrame, path: str) -> None:
+def write_scores(scores: DataFrame, path: str, single: bool = False) -> None:
     """Scores with six decimals, by name."""
     columns = [F.format_string("%.6f", c).alias(c) if t == "double" else F.col(c) for c, t in scores.dtypes]
-    scores.select(*columns).orderBy(scores.columns[0]).coalesce(1).write.mode("overwrite").option("header", "true").csv(path)
+    _write(scores.select(*columns).orderBy(scores.columns[0]), path, single)
 
 
-def write_errors(rows: DataFrame, path: str) -> bool:
+def write_errors(rows: DataFrame, path: str, single: bool = False) -> bool:
     """``file_name, source, error``, only if there is any."""
     if rows.isEmpty():
         return False
-    rows.select("file_name", "source", "error").coalesce(1).write.mode("overwrite").options(header="true", escape='"').csv(path)
+    _write(rows.select("file_name", "source", "error").orderBy("file_name", "source"), path, single, escape='"')
     return True

@@ -186,3 +186,16 @@ def test_families_and_split(spark):
     for r in got:
         by.setdefault(r["family"], set()).add(r["split"])
     assert all(len(v) == 1 for v in by.values())
+
+
+def test_many_small_families_follow_by_weight(spark):
+    rows = [("r", f"f{i}", None if i % 3 == 0 else f"k{i // 2}", i % 4, i, 7 * i) for i in range(3_000)] + [("r", f"h{i}", "hub", 1, i, i) for i in range(1_500)] + [("q", "x", "hub", 1, 1, 1)]
+    df = spark.createDataFrame(rows, "run_id string, file_name string, family string, gt_tables int, gt_length int, pixels int")
+    got = X.grouped_split(df, {"a": 0.2, "b": 0.2, "c": 0.6}).where("run_id = 'r'").collect()
+    by, size = {}, {}
+    for r in got:
+        by.setdefault(r["family"] or r["file_name"], set()).add(r["split"])
+        size[r["split"]] = size.get(r["split"], 0) + 1
+    assert len(got) == 4_500 and all(len(v) == 1 for v in by.values()) and by["hub"] == {"c"}
+    assert all(abs(size[k] / 4_500 - v) < 0.02 for k, v in {"a": 0.2, "b": 0.2, "c": 0.6}.items())
+    assert X.grouped_split(df.limit(0), {"a": 1.0}).count() == 0
