@@ -674,7 +674,26 @@ def evaluate_summary(spark: SparkSession, folder: str) -> DataFrame:
     return evaluate.summary(evaluate_pairs(spark, folder))
 
 
-@_query()
+def _scored(rows: str) -> str:
+    """Texts ``x`` with their score, kind, length and repetition."""
+    tables_, rows_, cells, _ = _shape_sql("x")
+    widest = f"coalesce(list_max(list_transform(regexp_extract_all(x, '(?is)<tr(?:[ \\t\\n\\r\\f\\v][^<>]*)?>.*?</tr[ \\t\\n\\r\\f\\v]*>'), lambda r: {_n('r', '(?i)<t[dh](?:[ \\t\\n\\r\\f\\v][^<>]*)?>')})), 0)"
+    fine = f"NOT contains(lower(x), 'markdown parsing task') AND {_FINE('x')} AND NOT {_TRUNCATED} AND {tables_} <= 32 AND {widest} <= 256 AND ({_MARKUP} OR NOT {_UNSTRUCTURED})"
+    pipes = "len(list_filter(string_split(x, chr(10)), lambda v: regexp_matches(v, '^[ \\t\\n\\r\\f\\v]*\\|.*\\|[ \\t\\n\\r\\f\\v]*$')))"
+    return f"""
+        SELECT * EXCLUDE (x, cells, pipes, rows_), CASE WHEN n = 0 THEN 0.0::DOUBLE ELSE CASE WHEN markup THEN 16 ELSE 0 END + CASE WHEN fine THEN 14 ELSE 0 END + CASE WHEN NOT cut THEN 14 ELSE 0 END
+          + least(24.0::DOUBLE, greatest(cells, pipes * 2)::DOUBLE / 18) + least(14.0::DOUBLE, greatest(rows_, pipes)::DOUBLE / 6) + CASE WHEN dup <= 0.18 THEN 8 ELSE 0 END END AS score
+        FROM (SELECT *, length({_s('x')}) AS n, {_MARKUP} AS markup, {fine} AS fine, {_TRUNCATED} AS cut, {_dup('x')} AS dup, {cells} AS cells, {rows_} AS rows_, {pipes} AS pipes,
+          CASE WHEN regexp_matches(x, '(?i)<table|\\|[ \\t\\n\\r\\f\\v]*:?-{{3,}}') THEN 2 WHEN {_MARKUP} THEN 1 ELSE 0 END AS kind FROM ({rows}))"""
+
+
+@_query(
+    f"""
+    WITH a AS ({_scored(f"SELECT row_id, file_name, coalesce(text, '') AS x FROM {_CELLS}")}), b AS ({_scored(f"SELECT file_name, coalesce(text, '') AS x FROM {_RECORDS}")})
+    SELECT row_id, round(a.score, 6) AS score, round(b.score, 6) AS repair_score,
+      b.n > 0 AND b.dup <= 0.30 AND (b.kind > a.kind OR a.n = 0 OR b.score >= a.score + 8 OR (b.score >= a.score AND b.n >= a.n + 300)) AS better
+    FROM a JOIN b ON a.file_name = b.file_name"""
+)
 def candidate_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Scores of each cell and of the record of its page, and whether the record is the better repair."""
     both = _cells(spark, folder).select("row_id", "file_name", F.col("text").alias("a")).join(_records(spark, folder).select("file_name", F.col("text").alias("b")), "file_name")
@@ -713,7 +732,19 @@ def tile_rebuild(spark: SparkSession, folder: str) -> DataFrame:
     return built.join(whole, "page").select("page", (F.col("text") == F.col("whole")).alias("same"))
 
 
-@_query()
+# The first line before a table that is not empty once numbers are masked and signs dropped.
+_FAMILY_LINE = (
+    "regexp_replace(regexp_replace(regexp_replace(trim(translate(regexp_replace(v, '&(nbsp|amp|lt|gt|quot|ensp|emsp|mdash|ndash|hellip|middot|times);', ' ', 'g'), "
+    f"'{''.join(chr(0xFF01 + i) for i in range(94))}', '{''.join(chr(0x21 + i) for i in range(94)).replace(chr(39), chr(39) * 2)}'), '# '), '[{T.SPACES}]+', ' ', 'g'), "
+    "'[0-9]+(?:[.,][0-9]+)?', '#', 'g'), '[^\\p{L}\\p{N}#]', '', 'g')"
+)
+
+
+@_query(
+    f"""
+    WITH t AS (SELECT list_filter(list_transform(string_split_regex(regexp_extract(text, '(?is)^(.*?)(<table|\\z)', 1), '{T.LINE_END}'), lambda v: {_FAMILY_LINE}), lambda v: v <> '') AS l FROM {_RECORDS} WHERE text IS NOT NULL)
+    SELECT coalesce(l[1][1:96], '') AS family, count(*) AS n FROM t GROUP BY 1"""
+)
 def family_groups(spark: SparkSession, folder: str) -> DataFrame:
     keys = _records(spark, folder).where("text is not null").select(experiment.family_keys("text").alias("family"))
     return keys.groupBy("family").agg(F.count("*").alias("n"))
