@@ -657,10 +657,25 @@ def table_statistics(spark: SparkSession, folder: str) -> DataFrame:
     return one_per_key(found.select("record_id", *[F.col(f"s.{f.name}").cast("bigint").alias(f.name) for f in found.schema["s"].dataType]), "record_id")
 
 
-@_query()
+_ENDS = "\\n\\r\\x0b\\x0c\\x1c-\\x1e\\x{85}\\x{2028}\\x{2029}"
+_BAR = f"contains(v, '|') AND len(list_filter({_CELLS_OF('v')}, lambda c: NOT regexp_matches(replace(c, ' ', ''), '{T.SEPARATOR_CELL}'))) = 0"
+
+
+@_query(
+    f"""
+    WITH r AS (SELECT record_id, text, list_filter(regexp_extract_all(text, '[^{_ENDS}]*(?:\r\n|[{_ENDS}]|$)'), lambda v: v <> '') AS ls FROM {_RECORDS}),
+    l AS (SELECT record_id, unnest(ls) AS v, generate_subscripts(ls, 1) AS i FROM r),
+    k AS (SELECT record_id, i, v, sum(strlen(v)) OVER (PARTITION BY record_id ORDER BY i) AS upto, {_PIPE} AND length(v) - length(replace(v, '|', '')) > 1 AS is_row, {_BAR} AS bar, len({_CELLS_OF('v')}) AS w FROM l),
+    n AS (SELECT *, is_row AND lead(bar) OVER (PARTITION BY record_id ORDER BY i) AS head, i - row_number() OVER (PARTITION BY record_id, is_row, w ORDER BY i) AS run FROM k),
+    t AS (SELECT *, min(CASE WHEN head THEN i END) OVER (PARTITION BY record_id, w, run) AS first FROM n WHERE is_row),
+    b AS (SELECT record_id, first, min(upto - strlen(v)) AS low, max(upto) AS high, max(upto) FILTER (i >= first + 2 AND upto <= 1000) AS part, max(CASE WHEN ends_with(v, chr(10)) THEN 0 ELSE 1 END) AS bare FROM t WHERE i >= first GROUP BY record_id, first),
+    c AS (SELECT *, min(CASE WHEN high > 1000 THEN first END) OVER (PARTITION BY record_id) AS bad FROM b),
+    g AS (SELECT record_id, CASE WHEN max(CASE WHEN first = bad AND low <= 1000 THEN 1 ELSE 0 END) = 1 THEN max(part) FILTER (first = bad) ELSE max(high + bare) FILTER (bad IS NULL OR first < bad) END AS kept FROM c GROUP BY 1)
+    SELECT r.record_id, strlen(text) AS before, CASE WHEN strlen(text) <= 1000 THEN strlen(text) ELSE kept END AS after FROM r LEFT JOIN g ON r.record_id = g.record_id"""
+)
 def retain_within_budget(spark: SparkSession, folder: str) -> DataFrame:
     cut = tables.within_budget(1_000)("text")
-    return one_per_key(_arrived_records(spark, folder).select("record_id", F.octet_length("text").alias("before"), F.octet_length(cut).alias("after")), "record_id")
+    return one_per_key(_arrived_records(spark, folder).select("record_id", F.octet_length("text").cast("bigint").alias("before"), F.octet_length(cut).cast("bigint").alias("after")), "record_id")
 
 
 @_query()
