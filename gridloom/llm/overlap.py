@@ -160,22 +160,27 @@ def _overlaps(splits: DataFrame, records: DataFrame) -> tuple[DataFrame, DataFra
     texts = cut_lineage(_fingerprinted(records))
     members = listed(splits).join(texts.select("file_name", "source", "cls", "c"), "file_name")
     classes = members.groupBy("run_id", "cls", "c").agg(F.bool_or(F.col("name") == "train").alias("left"), F.bool_or(F.col("name") != "train").alias("right"))
-    # One narrow row of numbers for each mark of a class in a run: ``k`` is run and mark, ``at`` run and class, each with
-    # the kind of mark (``short``: runs of short texts). Candidates
-    # found through equal hashes of different values fall away below, where classes and texts are compared themselves.
+    # ``at`` stands for a class in a run with one kind of mark (``short``: runs of short texts); its two last bits say on
+    # which sides the class is. ``k`` stands for a mark in a run. Rows of marks are these two numbers alone; what else is
+    # known of ``at`` is joined when few rows are left. Candidates found through equal hashes of different values fall
+    # away below, where classes and texts are compared themselves.
     held = classes.join(texts.select("cls", "marks", "runs").dropDuplicates(["cls"]), "cls")
     kinds = F.array(F.struct(F.lit(False).alias("short"), F.col("marks").alias("of")), F.struct(F.lit(True).alias("short"), F.col("runs").alias("of")))
-    held = held.select("c", "cls", "run_id", "left", "right", F.explode(kinds).alias("kind")).select("c", "cls", "run_id", "left", "right", "kind.short", "kind.of")
-    marks = held.select("c", F.xxhash64("run_id", "cls", "short").alias("at"), "run_id", "left", "right", "short", F.size("of").alias("n"), F.explode("of").alias("mark"))
-    marks = marks.select("c", "at", F.xxhash64("run_id", "mark", "short").alias("k"), "left", "right", "short", "n")
-    spread = marks.groupBy("k").agg(F.count("*").cast("int").alias("df"), F.bool_or("left").alias("any_left"), F.bool_or("right").alias("any_right"))
+    held = held.select("c", "cls", "run_id", "left", "right", F.explode(kinds).alias("kind")).where(F.size("kind.of") > 0)
+    sides = F.when(F.col("left"), 2).otherwise(0) + F.when(F.col("right"), 1).otherwise(0)
+    at = F.shiftleft(F.shiftright(F.xxhash64("run_id", "cls", "kind.short"), 2), 2).bitwiseOR(sides.cast("bigint"))
+    held = cut_lineage(held.select(at.alias("at"), "c", "kind.short", F.size("kind.of").alias("n"), F.transform("kind.of", lambda m: F.xxhash64(F.col("run_id"), m, F.col("kind.short"))).alias("ks")))
+    known = held.select("at", "c", "short", "n").dropDuplicates(["at"])
+    marks = held.select("at", F.explode("ks").alias("k"))
+    on = lambda bit: F.col("at").bitwiseAND(F.lit(bit)) != 0
+    spread = marks.groupBy("k").agg(F.count("*").cast("int").alias("df"), F.bit_or(F.col("at").bitwiseAND(F.lit(3)).cast("tinyint")).alias("seen"))
     # Marks of one side come first in the common order; they join nothing, so only their number matters to the rank of the others.
-    both_sided = spread.where("any_left and any_right").select("k", "df")
+    both_sided = spread.where("seen = 3").select("k", "df")
     by_class = Window.partitionBy("at")
     ranked = marks.join(both_sided, "k").withColumn("rank", F.row_number().over(by_class.orderBy("df", "k"))).withColumn("n_both", F.count("*").over(by_class))
     others = F.when(F.col("short"), F.floor(F.col("n") / 3)).otherwise(F.floor(F.col("n") * (1 - NEAR)))
-    rare = ranked.where(F.col("n") - F.col("n_both") + F.col("rank") <= others + 1)
-    rare = cut_lineage(rare.select("k", "c", "short", "n", "left", "right"))
+    rare = ranked.join(known, "at").where(F.col("n") - F.col("n_both") + F.col("rank") <= others + 1)
+    rare = cut_lineage(rare.select("k", "c", "short", "n", on(2).alias("left"), on(1).alias("right")))
     a = rare.where("left").select("k", "short", F.col("c").alias("x"), F.col("n").alias("n_x"))
     b = rare.where("right").select("k", F.col("c").alias("y"), F.col("n").alias("n_y"))
     near_size = F.when(F.col("short"), F.least("n_x", "n_y") * 3 >= F.greatest("n_x", "n_y") * 2).otherwise(F.least("n_x", "n_y") >= F.greatest("n_x", "n_y") * NEAR)
