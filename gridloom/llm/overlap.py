@@ -234,8 +234,14 @@ def overlapping_files(splits: DataFrame, records: DataFrame) -> DataFrame:
 
 
 def overlap_counts(splits: DataFrame, records: DataFrame) -> DataFrame:
-    """Pairs and files of the evaluation side by run, split and source."""
-    rows = cross_split_pairs(splits, records)
-    return rows.groupBy("run_id", "name", "source").agg(
-        F.count("*").alias("n_pairs"), F.countDistinct("file_name").alias("n_files"), F.round(F.avg("cover"), 6).alias("mean_cover")
+    """Pairs and files of the evaluation side by run, split and source.
+
+    Worked out from the sizes of classes; copies are not expanded into pairs.
+    """
+    members, pairs = _overlaps(splits, records)
+    left = members.where("name = 'train'").groupBy("run_id", F.col("cls").alias("a")).agg(F.count("*").alias("n_left"))
+    right = members.where("name <> 'train'").groupBy("run_id", F.col("cls").alias("b"), "name", "source").agg(F.count("*").alias("n_right"))
+    of_class = pairs.join(left, ["run_id", "a"]).groupBy("run_id", "b").agg(F.sum("n_left").alias("n_left"), F.sum(F.col("n_left") * F.col("cover_b")).alias("covered"))
+    return of_class.join(right, ["run_id", "b"]).groupBy("run_id", "name", "source").agg(
+        F.sum(F.col("n_left") * F.col("n_right")).alias("n_pairs"), F.sum("n_right").alias("n_files"), F.round(F.sum(F.col("covered") * F.col("n_right")) / F.sum(F.col("n_left") * F.col("n_right")), 6).alias("mean_cover")
     )
