@@ -78,6 +78,10 @@ def read_merges(path: str) -> tuple[list[bytes], list[tuple[int, int, int]]]:
     return labels, rules
 
 
+#: Arcs that a worker keeps at most; beyond it starts afresh, and arcs are worked out again when asked for.
+ARCS = 4_000_000
+
+
 class _PairTable:
     """Arcs asked for so far: open addressing over (state, token) keys."""
 
@@ -108,6 +112,8 @@ class _PairTable:
         return known, holds
 
     def add(self, keys: np.ndarray, holds: np.ndarray) -> None:
+        if self.count and self.count + len(keys) > ARCS:
+            self.reset(20)
         if (self.count + len(keys)) * 2 > 1 << self.bits:
             old = self.keys >= 0
             old_keys, old_holds = self.keys[old], self.holds[old]

@@ -225,6 +225,11 @@ def test_tokens_equal_public_tokenizer(spark):
     again, _ = machine.encode(texts)  # more words than are remembered
     tokenize_bpe.MEMORY_WORDS = tokenize_bpe_words
     assert again.tolist() == ids.tolist()
+    arcs, tokenize_bpe.ARCS = tokenize_bpe.ARCS, 50
+    machine.forget()
+    again, _ = machine.encode(texts)  # more arcs than are kept
+    tokenize_bpe.ARCS = arcs
+    assert again.tolist() == ids.tolist()
     rows = [(i, t, "clash") for i, t in enumerate(texts[:20])] + [(98, None, ""), (99, "", ""), (99, "", ""), (None, "a", "")]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids string")
     out = {r["doc_id"]: r["ids"] for r in tokenize_bpe.encode_corpus(df).collect()}
