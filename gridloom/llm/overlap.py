@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gridloom.llm.text_core import codes, core, rolling
+from gridloom.llm.text_core import codes, core, join_codes, rolling, slices
 from gridloom.session import cut_lineage, ship_package
 
 SEED, WINDOW, GRAM = 8, 6, 5
@@ -50,8 +50,13 @@ def winnow(text_core: str) -> tuple[np.ndarray, np.ndarray]:
     if len(h) <= WINDOW:
         at = np.array([h.argmin()]) if len(h) else np.zeros(0, np.int64)
     else:
-        windows = np.lib.stride_tricks.sliding_window_view(h, WINDOW)
-        at = np.unique(np.arange(len(windows)) + WINDOW - 1 - windows[:, ::-1].argmin(axis=1))  # the last of equal minima
+        n = len(h) - WINDOW + 1
+        least, at = h[WINDOW - 1 :].copy(), np.arange(WINDOW - 1, len(h))
+        for j in range(WINDOW - 2, -1, -1):  # the last of equal minima
+            less = h[j : n + j] < least
+            least[less] = h[j : n + j][less]
+            at[less] = np.flatnonzero(less) + j
+        at = at[np.append(True, at[1:] != at[:-1])]  # places never go back from one window to the next
     keys, first = np.unique(h[at], return_index=True)
     return keys.view(np.int64), at[first]
 
@@ -66,11 +71,50 @@ def all_runs(text_core: str) -> tuple[np.ndarray, np.ndarray]:
     return keys.view(np.int64), first
 
 
-def marks_of(text_core: str) -> tuple[np.ndarray, np.ndarray]:
-    """Fingerprints, and all runs of a text that is short or can be alike to a short one; the other is empty."""
-    runs = all_runs(text_core)[0]
-    none = runs[:0]
-    return none if len(runs) < SHORT else winnow(text_core)[0], runs if len(runs) * 2 <= SHORT * 3 else none
+def _has_few_runs(hashes: np.ndarray) -> bool:
+    """Whether a text with these hashes of runs is short or can be alike to a short one."""
+    # A text that has so many different runs at its beginning already has no fewer in all.
+    if len(hashes) > 4 * SHORT and len(np.unique(hashes[: 4 * SHORT])) * 2 > SHORT * 3:
+        return False
+    return len(np.unique(hashes)) * 2 <= SHORT * 3
+
+
+def marks_of(cores: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each text its fingerprints, and all runs of one that is short or can be alike to a short one; the other is empty.
+
+    Fingerprints are those of ``winnow``, worked out for all texts at once.
+    """
+    joined, ends = join_codes(cores)
+    size = np.diff(ends)
+    seeds, grams_ = rolling(joined, SEED), rolling(joined, GRAM)
+    n = len(seeds) - WINDOW + 1
+    keys = at = np.zeros(0, np.int64)
+    text = np.zeros(0, np.int64)
+    if n > 0:
+        least, at = seeds[WINDOW - 1 :].copy(), np.arange(WINDOW - 1, len(seeds))
+        for j in range(WINDOW - 2, -1, -1):  # the last of equal minima
+            less = np.flatnonzero(seeds[j : n + j] < least)
+            least[less] = seeds[less + j]
+            at[less] = less + j
+        owner = np.repeat(np.arange(len(cores)), size)[:n]
+        inside = np.arange(n) + WINDOW + SEED - 1 <= ends[owner + 1]
+        text, at = owner[inside], at[inside]
+        new = np.append(True, (at[1:] != at[:-1]) | (text[1:] != text[:-1]))[: len(at)]
+        text, at = text[new], at[new]
+        keys = seeds[at].view(np.int64)
+        order = np.lexsort((seeds[at], text))
+        text, keys = text[order], keys[order]
+        new = np.append(True, (keys[1:] != keys[:-1]) | (text[1:] != text[:-1]))[: len(keys)]
+        text, keys = text[new], keys[new]
+    where = np.searchsorted(text, np.arange(len(cores) + 1))
+    none, out = np.zeros(0, np.int64), []
+    for k, c in enumerate(cores):
+        hashes = grams_[ends[k] : max(ends[k], ends[k + 1] - GRAM + 1)]
+        runs = np.unique(hashes).view(np.int64) if _has_few_runs(hashes) else none
+        few = len(runs) < SHORT and (len(runs) > 0 or len(c) < GRAM)
+        marks = none if few else keys[where[k] : where[k + 1]] if size[k] >= WINDOW + SEED - 1 else winnow(c)[0]
+        out.append((marks, runs))
+    return out
 
 
 def compare(a: str, b: str) -> tuple[float, float, float]:
@@ -131,7 +175,7 @@ def _fingerprinted(records: DataFrame) -> DataFrame:
             keep = [i for i, c in enumerate(cores) if c]
             rows = pa.array(keep, pa.int64())
             kept = [cores[i] for i in keep]
-            marked = [marks_of(c) for c in kept]
+            marked = [m for start, end in slices(kept, chars=1_000_000) for m in marks_of(kept[start:end])]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(rows),
