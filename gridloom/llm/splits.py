@@ -19,9 +19,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from gridloom.llm.overlap import listed
+from gridloom.operators.experiment import by_running_weight
 from gridloom.session import cut_lineage
 
 KEYS = ("family", "author", "entity")
@@ -116,18 +116,6 @@ def regrouped_splits(features: DataFrame, targets: DataFrame) -> DataFrame:
     placed = ordered.withColumn("state", F.aggregate("big", start, place))
     big_at = placed.select("run_id", F.explode(F.arrays_zip(F.col("big.root").alias("root"), F.col("state.at").alias("at"))).alias("z")).select("run_id", "z.root", "z.at")
     loads = placed.select("run_id", F.col("state.load").alias("load"))
-    small = sized.where(F.col("w") <= F.col("all") * BIG).withColumn("bucket", F.pmod(F.xxhash64("root"), F.lit(1024)))
-    level = small.groupBy("run_id", "bucket").agg(F.sum("w").alias("bw"))
-    before = level.withColumn("before", F.sum("bw").over(Window.partitionBy("run_id").orderBy("bucket")) - F.col("bw")).drop("bw")  # at most 1,024 rows a run
-    within = Window.partitionBy("run_id", "bucket").orderBy("root")
-    rest = small.join(before, ["run_id", "bucket"]).withColumn("mid", F.col("before") + F.sum("w").over(within) - F.col("w") / 2)
-    rest = rest.join(loads, "run_id", "left")
-    load = F.coalesce("load", F.array(*[F.lit(0.0)] * len(names)))
-    room = F.zip_with(want, load, lambda s, used: F.greatest(F.lit(0.0), s * F.col("all") - used))
-    left = F.col("all") - F.aggregate(load, F.lit(0.0), lambda x, y: x + y)
-    scale = left / F.greatest(F.lit(1e-9), F.aggregate(room, F.lit(0.0), lambda x, y: x + y))
-    edges = F.aggregate(room, F.array().cast("array<double>"), lambda acc, r: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0.0)) + r * scale)))
-    at = F.least(F.lit(len(names)), F.size(F.filter(edges, lambda e: e <= F.col("mid"))) + 1)
-    small_at = rest.select("run_id", "root", at.cast("int").alias("at"))
-    chosen = big_at.unionByName(small_at).withColumn("name", F.element_at(F.array(*[F.lit(n) for n in names]), F.col("at")))
+    rest = by_running_weight(sized.where(F.col("w") <= F.col("all") * BIG), loads, dict(zip(names, wanted)), "run_id", "root").withColumnRenamed("split", "name")
+    chosen = big_at.select("run_id", "root", F.element_at(F.array(*[F.lit(n) for n in names]), F.col("at")).alias("name")).unionByName(rest)
     return groups.join(chosen, ["run_id", "root"]).select("run_id", "name", "file_name")
