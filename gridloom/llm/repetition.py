@@ -11,17 +11,19 @@ characters has at least ``PASSAGE - RUN + 1`` repeated runs, and places that
 different runs share only raise the score, so a text of which a third is
 repeated never scores below ``FLOOR``.
 
-Cutoffs: rows of a labelled holdout (about ``HOLDOUT`` rows; the label is the
-exact share) are put into strata by script and length. For each stratum and
-each cutoff of ``GRID`` the false rejections, rows that are no case but would be
-rejected by their score, are bounded from above by the exact binomial
-(Clopper-Pearson) limit at level ``DELTA``, shared out over all tests
-(Bonferroni). The lowest cutoff whose bound is at most ``ALPHA`` is taken; a
-stratum too small to certify any has none.
+Cutoffs: all rows of the table are labelled (the label is the exact share, which
+is worked out for rows that score ``FLOOR`` or more; below it no row is a case)
+and put into strata by script and length. For each stratum and each cutoff of
+``GRID`` the false rejections, rows that are no case but would be rejected by
+their score, are counted over the whole table and bounded from above by the
+exact binomial (Clopper-Pearson) limit at level ``DELTA``, shared out over all
+tests (Bonferroni). The lowest cutoff whose bound is at most ``ALPHA`` is taken;
+a stratum too small to certify any has none.
 
 A row is rejected if its score reaches the cutoff of its stratum. Between
-``FLOOR`` and the cutoff the exact share decides; below ``FLOOR`` no row is a
-case. So no case is lost, and false rejections are limited as certified.
+``FLOOR`` and the cutoff the exact share decides. So no case is lost, and false
+rejections are limited as certified; the rows found are the rejected ones whose
+exact share confirms them, so none of them is false.
 
 Null and empty texts have an empty core and share 0.
 """
@@ -37,14 +39,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.sampling import hash_sample
 from gridloom.llm.text_core import core, join_codes, rolling, slices
-from gridloom.session import ship_package
+from gridloom.session import cut_lineage, ship_package
 
 PASSAGE, RUN, CASE = 20, 12, 1 / 3
 #: The least score of a case: a third of the characters, of which a passage has this part as starts of repeated runs.
 FLOOR = CASE * (PASSAGE - RUN + 1) / PASSAGE
-HOLDOUT, ALPHA, DELTA = 8_000, 0.01, 0.05
+ALPHA, DELTA = 0.01, 0.05
 GRID = (CASE, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9)
 #: Core characters up to which a text is short, middling or long.
 SIZES = (400, 1_200)
@@ -111,86 +112,102 @@ def binomial_upper(k: int, n: int, level: float) -> float:
     """Clopper-Pearson: the largest rate under which k or fewer of n have probability ``level``."""
     if k >= n:
         return 1.0
-    logs = [math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) for i in range(k + 1)]
+    last = math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
+
+    def tail(p: float) -> float:
+        term = total = 1.0
+        for i in range(k, 0, -1):  # terms fall below k, so few of them count in a large table
+            term *= i / (n - i + 1) * (1 - p) / p
+            total += term
+            if term < total * 1e-17:
+                break
+        return total * math.exp(last + k * math.log(p) + (n - k) * math.log1p(-p))
+
     low, high = k / n, 1.0
     for _ in range(60):
         p = (low + high) / 2
-        tail = sum(math.exp(c + i * math.log(p) + (n - i) * math.log1p(-p)) for i, c in enumerate(logs)) if 0 < p < 1 else float(p == 0)
-        low, high = (p, high) if tail > level else (low, p)
+        low, high = (p, high) if 0 < p < 1 and tail(p) > level or p == 0 else (low, p)
     return high
 
 
 def select_cutoffs(rows: list[tuple[str, float, bool]]) -> dict[str, tuple[float | None, int, int, float]]:
-    """``stratum -> (cutoff or None, holdout rows that are no case, false rejections, bound)`` of (stratum, score, label) rows.
+    """:func:`certified` cutoffs of (stratum, score, label) rows."""
+    counts: dict[str, list[int]] = defaultdict(lambda: [0] * (1 + len(GRID)))
+    for name, score, label in rows:
+        for i, least in enumerate((-math.inf, *GRID)):
+            counts[name][i] += not label and score >= least  # a stratum of cases only is still one
+    return certified(counts)
 
+
+def certified(counts: dict[str, list[int]]) -> dict[str, tuple[float | None, int, int, float]]:
+    """``stratum -> (cutoff or None, rows that are no case, false rejections, bound)``.
+
+    ``counts`` has for each stratum the rows that are no case, then those of them at or above each cutoff of ``GRID``.
     Without a cutoff the figures are those of the highest of ``GRID``.
     """
-    groups: dict[str, list[float]] = defaultdict(list)
-    for name, score, label in rows:
-        if not label:
-            groups[name].append(score)
-        else:
-            groups[name]  # noqa: B018 - a stratum of cases only is still one
     out = {}
-    level = DELTA / max(1, len(groups) * len(GRID))
-    for name, scores in sorted(groups.items()):
-        for cutoff in GRID:
-            k = sum(s >= cutoff for s in scores)
-            bound = binomial_upper(k, len(scores), level) if scores else 1.0
-            out[name] = (cutoff if bound <= ALPHA else None, len(scores), k, bound)
+    level = DELTA / max(1, len(counts) * len(GRID))
+    for name, (n, *false) in sorted(counts.items()):
+        for cutoff, k in zip(GRID, false):
+            bound = binomial_upper(k, n, level) if n else 1.0
+            out[name] = (cutoff if bound <= ALPHA else None, n, k, bound)
             if bound <= ALPHA:
                 break
     return out
 
 
-def holdout_cutoffs(cells: DataFrame, text: str = "ground_truth", key: str = "row_id") -> dict[str, tuple[float | None, int, int, float]]:
+def _scored(cells: DataFrame, text: str, key: str, exact: bool) -> DataFrame:
+    """``(key, source, n_core, stratum, share, score, label)`` of each row once; the share of all rows, or else of those that can be cases."""
     ship_package(cells.sparkSession)
 
-    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
+            texts = batch.column(2).to_pylist()
             for start, end in slices(texts, 250, 200_000):
                 cores = [core(t) for t in texts[start:end]]
-                case = repeated_shares(cores) * 3 >= 1.0 - 1e-12
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, end - start), pa.array([stratum(c) for c in cores], pa.string()), pa.array(sketch_scores(cores)), pa.array(case & np.array([bool(c) for c in cores]))],
-                    names=[key, "stratum", "score", "label"],
-                )
+                score, share = sketch_scores(cores), np.full(len(cores), np.nan)
+                asked = np.arange(len(cores)) if exact else np.flatnonzero(~(score < FLOOR - 1e-12))
+                share[asked] = repeated_shares([cores[i] for i in asked])
+                size = np.array([len(c) for c in cores])
+                with np.errstate(invalid="ignore"):
+                    label = (share * 3 >= 1.0 - 1e-12) & (size > 0)
+                columns = [pa.array(size, pa.int64()), pa.array([stratum(c) for c in cores], pa.string()), pa.array(share, from_pandas=True), pa.array(score, from_pandas=True), pa.array(label)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(start, end - start) for k in (0, 1)), *columns], names=[key, "source", "n_core", "stratum", "share", "score", "label"])
 
     kind = cells.schema[key].dataType.simpleString()
-    sample = hash_sample(cells.select(key, text), key, HOLDOUT, text)
-    rows = sample.mapInArrow(label, f"`{key}` {kind}, stratum string, score double, label boolean").dropDuplicates([key]).drop(key)
-    return select_cutoffs([tuple(r) for r in rows.toLocalIterator()])  # about HOLDOUT short rows
+    source = F.col("source") if "source" in cells.columns else F.lit(None).cast("string").alias("source")
+    out = cells.select(key, source, text).mapInArrow(measure, f"`{key}` {kind}, source string, n_core bigint, stratum string, share double, score double, label boolean")
+    return out.dropDuplicates([key])  # after the map, so that no text is shuffled
 
 
-def _measured(cells: DataFrame, text: str, key: str, exact: bool) -> DataFrame:
-    spark = cells.sparkSession
-    ship_package(spark)
-    cutoffs = {k: v[0] for k, v in holdout_cutoffs(cells, text, key).items() if v[0] is not None}
+def _cutoffs(scored: DataFrame) -> dict[str, tuple[float | None, int, int, float]]:
+    """Cutoffs certified on all rows; what reaches the driver is a row of counts for each stratum."""
+    false = [F.count_if(~F.col("label") & (F.col("score") >= cutoff)) for cutoff in GRID]
+    counts = scored.groupBy("stratum").agg(F.count_if(~F.col("label")), *false)
+    return certified({name: n for name, *n in counts.collect()})
 
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(2).to_pylist()
-            for start, end in slices(texts, 250, 200_000):
-                cores = [core(t) for t in texts[start:end]]
-                score, cutoff, rejected = judged(cores, cutoffs)
-                share = repeated_shares(cores) if exact else np.full(len(cores), np.nan)
-                columns = [pa.array([len(c) for c in cores], pa.int64()), *(pa.array(x, from_pandas=True) for x in (share, score, cutoff)), pa.array(rejected)]
-                yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(start, end - start) for k in (0, 1)), *columns], names=[key, "source", "n_core", "share", "score", "cutoff", "rejected"])
 
-    kind = cells.schema[key].dataType.simpleString()
-    out = cells.select(key, "source", text).mapInArrow(measure, f"`{key}` {kind}, source string, n_core bigint, share double, score double, cutoff double, rejected boolean")
-    return out.dropDuplicates([key])  # after the map, so that no text is shuffled
+def holdout_cutoffs(cells: DataFrame, text: str = "ground_truth", key: str = "row_id") -> dict[str, tuple[float | None, int, int, float]]:
+    return _cutoffs(_scored(cells, text, key, False))
+
+
+def _measured(cells: DataFrame, text: str, key: str, exact: bool) -> DataFrame:
+    scored = cut_lineage(_scored(cells, text, key, exact))  # scores and labels that the cutoffs are counted on are those they are applied to
+    cutoff = F.lit(None).cast("double")
+    for name, (value, *_) in _cutoffs(scored).items():
+        if value is not None:
+            cutoff = F.when(F.col("stratum") == name, F.lit(value)).otherwise(cutoff)
+    return scored.withColumn("cutoff", cutoff).withColumn("rejected", F.col("label") | F.coalesce(F.col("score") >= F.col("cutoff"), F.lit(False)))
 
 
 def repetition(cells: DataFrame, text: str = "ground_truth", key: str = "row_id") -> DataFrame:
     """``(key, source, n_core, share, score, cutoff, rejected)`` of each row once, with the exact share of all rows."""
-    return _measured(cells, text, key, True)
+    return _measured(cells, text, key, True).select(key, "source", "n_core", "share", "score", "cutoff", "rejected")
 
 
 def repetitive_rows(cells: DataFrame, text: str = "ground_truth", key: str = "row_id") -> DataFrame:
-    """Rejected rows: by the cutoff of their stratum, or below it by the exact share."""
-    return _measured(cells, text, key, False).where(F.col("rejected") & (F.col("n_core") > 0)).select(key)
+    """Rejected rows whose exact share confirms them."""
+    return _measured(cells, text, key, False).where(F.col("rejected") & F.col("label")).select(key)
 
 
 def cutoff_table(spark: SparkSession, cells: DataFrame) -> DataFrame:

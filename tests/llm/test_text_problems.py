@@ -1,6 +1,8 @@
 """Truncation, repetition, markup, tokens, leaks and quality on small tables with every kind of dirt."""
 
+import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -121,6 +123,14 @@ def test_cutoffs():
     assert repetition.select_cutoffs([]) == {}
 
 
+def test_bound_of_a_whole_table():
+    exact = lambda p: sum(math.comb(500, i) * p**i * (1 - p) ** (500 - i) for i in range(41))
+    assert exact(repetition.binomial_upper(40, 500, 0.01)) == pytest.approx(0.01, rel=1e-6)
+    start = time.process_time()
+    assert repetition.binomial_upper(300_000, 30_000_000, 0.001) == pytest.approx(0.01 + 3.09 * (0.0099 / 30_000_000) ** 0.5, rel=1e-4)
+    assert time.process_time() - start < 5
+
+
 def test_cutoffs_decide():
     """Above the cutoff the score alone rejects, below it the exact share does."""
     rng = random.Random(2)
@@ -160,6 +170,25 @@ def test_repetition(spark, cells):
     assert shares[200] == shares[201] == shares[202] == 0.0
 
 
+def test_cutoffs_come_from_all_rows(spark):
+    """Every key counts once, whatever the size of the table and of its texts; what the score alone rejects is no row found."""
+    rng = random.Random(17)
+    say = lambda n: "".join(chr(0x4E00 + rng.randrange(5_000)) for _ in range(n))
+    parts = [say(19) for _ in range(10)]
+    again = "".join(p + say(1) for _ in range(12) for p in parts)  # scores high, but repeats 19 characters at a time
+    assert brute_share(again) == 0
+    loop = say(30) * 20
+    rows = [(i, say(500)) for i in range(9_000)] + [(9_000, again), (9_001, loop), (9_002, loop), (9_002, loop), (9_003, say(30_000))]
+    df = spark.createDataFrame([(i, "s", t) for i, t in rows], "row_id long, source string, ground_truth string")
+    found = {r["stratum"]: r for r in repetition.cutoff_table(spark, df).collect()}
+    assert found["other-middling"]["n_holdout"] == 9_000 and found["other-long"]["n_holdout"] == 2
+    assert found["other-middling"]["cutoff"] == repetition.CASE and found["other-long"]["cutoff"] is None
+    many = df.unionAll(spark.createDataFrame([(20_000 + i, "s", say(1_300)) for i in range(1_500)], df.schema))
+    rejected = {r["row_id"]: (r["cutoff"], r["rejected"]) for r in repetition.repetition(many).where("score >= 0.3").collect()}
+    assert rejected == {9_000: (repetition.CASE, True), 9_001: (repetition.CASE, True), 9_002: (repetition.CASE, True)}
+    assert {r["row_id"] for r in repetition.repetitive_rows(many).collect()} == {9_001, 9_002}
+
+
 MARKUP = {
     "# head\ntext": ["markdown"], "a **b** c": ["markdown"], "see `x` now": ["markdown"], "- item\n- item": ["markdown"], "1. one": ["markdown"], "[a b](#s1) x": ["markdown"], "> said": ["markdown"],
     "| a | b |\n| --- | --- |": ["markdown"], "Title\n=====": ["markdown"], "```\nx": ["markdown"], "cut **here": ["markdown"], "x\n\n| 年": ["markdown"], "x\n\n##": ["markdown"], "cut `he": ["markdown"], "cut '''he": ["wiki"], "cut [[he": ["wiki"], "cut \\text": ["latex"], "cut $v^{7": ["latex"],
