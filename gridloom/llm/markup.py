@@ -1,4 +1,4 @@
-"""Markup in texts: which kinds a text holds, its clean form, and token classes of templates.
+"""Markup in texts: which kinds a text holds, its clean form, and the templates of sources.
 
 Recognition reads each kind by its own grammar (fixed tag names and attribute
 forms, block starts at the start of a line, paired inline marks, commands that
@@ -7,11 +7,7 @@ end counts where the text ends. Clean texts write headings as ``#``, entries as
 ``-`` or their number, rows as `` | `` between cells, code between fences and
 formulas between dollar signs, whatever the markup was.
 
-Templates: token types with the same occurrence vector over the records of a
-source (equal counts in each) form an equivalence class. Vectors are compared
-as sums of hashes, so that no vector is gathered. This is the first step of
-template deduction only: classes are not checked for order, not nested into a
-template, and no slots are extracted; nothing else uses them.
+Templates are deduced in :mod:`gridloom.llm.templates`.
 
 Null and blank texts have no markup; their clean form is null or empty.
 """
@@ -26,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.llm.templates import template_classes, template_slots  # noqa: F401
 from gridloom.session import ship_package
 
 #: Element names that count as tags.
@@ -34,8 +31,6 @@ TAGS = (
     "ins kbd li mark ol p pre q s samp section small span strike strong style sub sup table tbody td tfoot th thead title tr tt u ul var"
 )
 KINDS = ("html", "markdown", "wiki", "latex")
-#: Records of a source that a template class must appear in at least.
-SUPPORT = 3
 
 _NAME = "(?:" + "|".join(sorted(TAGS.split(), key=len, reverse=True)) + ")"
 _ATTRS = r"(?:\s+[A-Za-z_:][-A-Za-z0-9_:.]*\s*=\s*(?:\"[^\"<>]*\"|'[^'<>]*'|[^\s\"'<>=]+))*"
@@ -235,29 +230,3 @@ def clean_texts(texts: DataFrame) -> DataFrame:
 
     rows = texts.select("tab", "rec_id", "text").mapInArrow(tidy, "tab string, rec_id bigint, clean string")
     return rows.dropDuplicates(["tab", "rec_id"])
-
-
-_TEMPLATE_TOKEN = (
-    r"(?m)</?[A-Za-z][A-Za-z0-9]*(?: class=\"[a-z0-9]*\"| border=\"[0-9]*\")?|\\(?:begin|end)\{[a-z]*\}|\\[a-z]+|^#{1,6} |^={2,6} | ={2,6}$"
-    r"|\{\||\|\}|!!|\|\||\*\*|\[\[|\]\]|\]\(|\{\{|\}\}|'''|```|\$\$|^[-*] |^> |^[0-9]+\. "
-)
-
-
-def template_classes(texts: DataFrame) -> DataFrame:
-    """``(source, support, tokens, n_first, n_last)``: equivalence classes of a source, with the mean places of their first and last token.
-
-    The places are means over records: they don't say that a class lies within
-    another in any one record. Tokens are markup signs only, with numbers and
-    contents left out, so a class is bounded by the vocabulary of the markup,
-    not by the records.
-    """
-    rows = texts.where("text is not null").select("source", F.xxhash64("tab", "rec_id").alias("rec"), F.regexp_extract_all("text", F.lit(_TEMPLATE_TOKEN), F.lit(0)).alias("signs"))
-    tokens = rows.where(F.size("signs") > 0).dropDuplicates(["rec"]).select("source", "rec", F.posexplode("signs").alias("at", "token"))
-    per = tokens.groupBy("source", "rec", "token").agg(F.count("*").alias("n"), F.min("at").alias("first"), F.max("at").alias("last"))
-    cell = F.xxhash64("rec", "n")
-    vectors = per.groupBy("source", "token").agg(
-        F.count("*").alias("support"), F.bit_xor(cell).alias("v1"), F.sum(F.shiftrightunsigned(cell, 20)).alias("v2"), F.avg("first").alias("first"), F.avg("last").alias("last")
-    )
-    classes = vectors.where(F.col("support") >= SUPPORT).groupBy("source", "support", "v1", "v2")
-    out = classes.agg(F.sort_array(F.collect_set("token")).alias("tokens"), F.round(F.min("first"), 3).alias("n_first"), F.round(F.max("last"), 3).alias("n_last"))
-    return out.where(F.size("tokens") > 1).select("source", "support", "tokens", "n_first", "n_last")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gridloom.functions.text import LINE_END, SPACES
 from gridloom.llm.leak import PASSAGE as LEAK_PASSAGE
 from gridloom.llm.leak import PASSAGE_WORDS, leaked_items
-from gridloom.llm.markup import clean_texts, markup_kinds, template_classes, texts_of
+from gridloom.llm.markup import clean_texts, markup_kinds, template_classes, template_slots, texts_of
 from gridloom.llm.overlap import GRAM, overlap_counts, overlapping_files
 from gridloom.llm.quality import LINE_ENDS, WORD, line_shares, mostly_not_prose, text_statistics
 from gridloom.llm.repetition import PASSAGE, cutoff_table, repetition, repetitive_rows
@@ -145,6 +145,11 @@ def p7_templates(spark: SparkSession, folder: str) -> DataFrame:
     return template_classes(texts_of(_cells(spark, folder), _records(spark, folder)))
 
 
+@_query
+def p7_slots(spark: SparkSession, folder: str) -> DataFrame:
+    return template_slots(texts_of(_cells(spark, folder), _records(spark, folder)))
+
+
 @_query
 def p10_stats(spark: SparkSession, folder: str) -> DataFrame:
     documents = read_table(spark, folder, "documents", "doc_id", "text")
